@@ -7,6 +7,8 @@ executor costs only the tasks that were running on it.
 from __future__ import annotations
 
 import atexit
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -49,3 +51,18 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     path = new_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package, where it is neither installed nor on their path."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    app = spark.sparkContext.applicationId
+    if app in _shipped or root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or "site-packages" in root:
+        return
+    _shipped.add(app)
+    folder = tempfile.mkdtemp(prefix="corpusloom-code-")
+    atexit.register(shutil.rmtree, folder, True)
+    spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/corpusloom", "zip", root, "corpusloom"))
