@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import chat, exact_dedup, mixing
+from corpusloom.llm import chat, exact_dedup, mixing, quality, tokens, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op3_token_counts": tokens.op3_token_counts,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op6_quality": quality.op6_quality,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
