@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import chat, exact_dedup, mixing, quality, tokens, toxicity
+from corpusloom.llm import chat, exact_dedup, mixing, quality, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_quality": quality.op6_quality,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_simhash": simhash.op10_simhash,
 }
 
 ORACLE_SQL = {

@@ -23,8 +23,10 @@ from corpusloom.llm.samples import fit, held_out, labelled
 from corpusloom.plans.shared import ship
 
 #: Labelled rows that the model is fitted on, characters of text of them, passes over them.
-SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS = 16_000, 96 << 20, 3
-BITS, ALPHA, BETA, L1, L2 = 20, 0.1, 1.0, 1.0, 1.0
+SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS = 16_000, 96 << 20, 4
+BITS, ALPHA, BETA, L1, L2, BIAS_RATE = 20, 1.0, 1.0, 8.0, 0.0, 0.01
+#: Sums are clipped here before they are calibrated.
+CLIP = 12.0
 BLOCK, CACHED = 1 << 20, 400_000
 _WORD, _GAP = re.compile(r"[^\W\d_]+"), re.compile(r"[\W\d_]")
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -62,6 +64,15 @@ def features(text: str) -> Iterator[np.ndarray]:
         last, at = joined[-2:], end
 
 
+def _calibrated(s: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[float, float]:
+    """Intercept and slope that turn sums, shrunk by the L1 term, into log odds."""
+    x, w = np.c_[np.ones(len(s)), s], np.array([0.0, 1.0])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (p - y) + 1e-3 * w)
+    return float(w[0]), float(w[1])
+
+
 def train(rows: Iterator[tuple[str, int]]) -> bytes:
     data, taken, labels = [], 0, [0, 0]
     for text, label in rows:
@@ -75,7 +86,7 @@ def train(rows: Iterator[tuple[str, int]]) -> bytes:
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias = base = float(np.log(prior / (1 - prior)))
     if not all(labels):
-        return pickle.dumps((np.empty(0, np.int32), np.empty(0, np.float32), base))
+        return pickle.dumps((np.empty(0, np.int32), np.empty(0, np.float32), base, 0.0, 1.0))
     for epoch in range(EPOCHS):
         for i, y in data:
             zi, root = z[i], np.sqrt(n[i])
@@ -83,22 +94,26 @@ def train(rows: Iterator[tuple[str, int]]) -> bytes:
             g = 1 / (1 + np.exp(-np.clip(bias + w.sum(), -30, 30))) - y
             z[i] = zi + g - (np.sqrt(n[i] + g * g) - root) / ALPHA * w
             n[i] += g * g
-            bias -= 0.002 * g
+            bias -= BIAS_RATE * g
     kept = np.flatnonzero(np.abs(z) > L1)
     w = -(z[kept] - np.sign(z[kept]) * L1) / ((BETA + np.sqrt(n[kept])) / ALPHA + L2)
-    return pickle.dumps((kept.astype(np.int32), w.astype(np.float32), bias))
+    dense = np.zeros(1 << BITS)
+    dense[kept] = w
+    sums = np.clip([bias + dense[i].sum() for i, _ in data], -CLIP, CLIP)
+    at, slope = _calibrated(sums, np.array([y for _, y in data], float))
+    return pickle.dumps((kept.astype(np.int32), w.astype(np.float32), bias, at, slope))
 
 
 class Scorer:
     def __init__(self, raw: bytes):
-        slots, weights, self.bias = pickle.loads(raw)
+        slots, weights, self.bias, self.at, self.slope = pickle.loads(raw)
         self.weights = np.zeros(1 << BITS, np.float32)
         self.weights[slots] = weights
 
     def score(self, text: str) -> float:
         hit = [i[self.weights[i] != 0] for i in features(text)]
         total = self.bias + (float(self.weights[np.unique(np.concatenate(hit))].sum()) if hit else 0.0)
-        return float(1 / (1 + np.exp(-np.clip(total, -30, 30))))
+        return float(1 / (1 + np.exp(-np.clip(self.at + self.slope * np.clip(total, -CLIP, CLIP), -30, 30))))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> bytes:
