@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import chat, exact_dedup, mixing, quality, simhash, tokens, toxicity
+from corpusloom.llm import chat, decontamination, exact_dedup, mixing, quality, simhash, tokens, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op6_quality": quality.op6_quality,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op8_decontaminate": decontamination.op8_decontaminate,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_simhash": simhash.op10_simhash,
 }
@@ -17,5 +18,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_chat_format": chat.OP1_SQL,
     "op7_mix_sources": mixing.OP7_SQL,
+    "op8_decontaminate": decontamination.OP8_SQL,
     "op9_exact_dedup": exact_dedup.OP9_SQL,
 }
