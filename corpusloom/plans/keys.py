@@ -29,16 +29,17 @@ def row_key(df: DataFrame, id_col: str, key: str = "_row") -> DataFrame:
     return save(df.withColumn(key, F.monotonically_increasing_id()), "rows")
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, size_col: str, total: int) -> DataFrame:
+def join_per_key(rows: DataFrame, per_key: DataFrame, key: str | list[str], size_col: str, total: int) -> DataFrame:
     """Inner join of ``rows`` to ``per_key`` (one row per key, none null, with its number of rows in ``size_col``).
 
     Keys that hold a thousandth of all rows or more are at most a thousand whatever the input, so
     those go by a broadcast join and never land in one task; the rest goes by a shuffle.
     Both inputs are read twice and should be written tables.
     """
+    keys = [key] if isinstance(key, str) else key
     least = max(2, total // HOT_PARTS + 1)
     is_hot = F.col(size_col) >= F.lit(least)
     hot, cold = per_key.filter(is_hot), per_key.filter(~is_hot)
     return rows.join(F.broadcast(hot), key).unionByName(
-        rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold.hint("merge"), key)
+        rows.join(F.broadcast(hot.select(*keys)), key, "left_anti").join(cold.hint("merge"), key)
     )
