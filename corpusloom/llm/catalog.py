@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import chat, decontamination, exact_dedup, mixing, quality, simhash, tokens, toxicity
+from corpusloom.llm import chat, decontamination, exact_dedup, mixing, quality, simhash, substring_dedup, tokens, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
     "op3_token_counts": tokens.op3_token_counts,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_substring_dedup": substring_dedup.op5_substring_dedup,
     "op6_quality": quality.op6_quality,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_decontaminate": decontamination.op8_decontaminate,
