@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import chat, decontamination, exact_dedup, mixing, quality, simhash, substring_dedup, tokens, toxicity
+from corpusloom.llm import chat, decontamination, exact_dedup, language, mixing, quality, simhash, substring_dedup, tokens, toxicity
 
 QUERIES = {
     "op1_chat_format": chat.op1_chat_format,
+    "op2_language_id": language.op2_language_id,
     "op3_token_counts": tokens.op3_token_counts,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_substring_dedup": substring_dedup.op5_substring_dedup,
