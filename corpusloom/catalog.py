@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from corpusloom.queries import cleaning, dedup, gibberish, orthography, urls
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_ALL = (cleaning, urls, gibberish, orthography, dedup)
+QUERIES = {name: query for module in _ALL for name, query in module.QUERIES.items()}
+ORACLE_SQL = {name: sql for module in _ALL for name, sql in module.ORACLE_SQL.items()}

@@ -26,8 +26,8 @@ from corpusloom.plans.shared import ship
 #: The tokenizer's split, without its look for digits or letters beyond Unicode's classes.
 PRETOKEN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters that the pattern above and the tokenizer class alike, checked one by one.
-AGREED = r"\x00-՗Ḁ-῿ -⁰←-⏿─-➿ぁ-ゖ゠-ヿ一-鿯가-힣＀-｠\U0001F300-\U0001F64F"
-SAFE_CUT = r"(?<=[^\s\x1c-\x1f\x85᠎]) (?=[^\s\x1c-\x1f\x85᠎])"
+AGREED = r"\x00-\u0557\u1E00-\u1FFF\u2000-\u2070\u2190-\u23FF\u2500-\u27BF\u3041-\u3096\u30A0-\u30FF\u4E00-\u9FEF\uAC00-\uD7A3\uFF00-\uFF60\U0001F300-\U0001F64F"
+SAFE_CUT = r"(?<=[^\s\x1c-\x1f\x85\u180E]) (?=[^\s\x1c-\x1f\x85\u180E])"
 #: Entries of the broadcast table; rows it is counted from (it only saves time, no count depends on it).
 FREQUENT, FREQUENT_ROWS = 65_536, 2_000
 #: Entries of a worker's cache; beyond it starts anew from the frequent ones. Longer pre-tokens aren't kept.
