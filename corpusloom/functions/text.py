@@ -74,10 +74,18 @@ def is_long_sentence(c: Column, least: int = 8) -> Column:
 
 def last_run_ratio(c: Column) -> Column:
     """The longest of each character's last run, over the length; 0 for an empty text."""
-    runs = F.reverse(F.regexp_extract_all(c, F.lit(r"(?s)((.)\2*)"), F.lit(1)))
-    first = F.transform(runs, lambda r: F.substring(r, 1, 1))
-    last = F.filter(runs, lambda r, i: F.array_position(first, F.substring(r, 1, 1)) == i + 1)
-    return F.when(c == "", F.lit(0.0)).otherwise(F.array_max(F.transform(last, F.length)) / F.length(c))
+
+    def last_run(back: Column):
+        def of(ch: Column) -> Column:
+            tail = F.substr(back, F.position(ch, back))
+            return F.length(tail) - F.length(F.ltrim(tail, ch))
+
+        return of
+
+    chars = F.array_distinct(F.split(c, ""))
+    # The text backwards is made once: within the inner lambda it is a value.
+    longest = F.transform(F.array(F.reverse(c)), lambda back: F.array_max(F.transform(chars, last_run(back))))
+    return F.when(c == "", F.lit(0.0)).otherwise(F.get(longest, F.lit(0)) / F.length(c))
 
 
 def word_like_count(c: Column, profile: Profile = ARABIC) -> Column:
