@@ -39,8 +39,14 @@ def shingle_tokens(c: Column, n: int = 5) -> Column:
 def signature(tokens: Column) -> Column:
     """32 minima of (a h + b) mod 2^31 - 1 over the tokens' 32-bit hashes; without tokens all are 2^31 - 1."""
     hashes = F.transform(F.array_distinct(tokens), lambda t: F.conv(F.substring(F.sha1(t), 1, 8), 16, 10).cast("bigint"))
-    mins = [F.array_min(F.transform(hashes, lambda h, a=a, b=b: (h * F.lit(a) + F.lit(b)) % F.lit(PRIME))) for a, b in zip(A, B)]
-    return F.transform(F.array(*mins), lambda m: F.coalesce(m, F.lit(PRIME).cast("bigint")))
+
+    def permuted(a: int, b: int):
+        return lambda h: (h * F.lit(a) + F.lit(b)) % F.lit(PRIME)
+
+    # The hashes are made once: within the lambda they are a value.
+    made = F.transform(F.array(hashes), lambda hs: F.array(*(F.array_min(F.transform(hs, permuted(a, b))) for a, b in zip(A, B))))
+    mins = F.get(made, F.lit(0))
+    return F.transform(mins, lambda m: F.coalesce(m, F.lit(PRIME).cast("bigint")))
 
 
 def signatures(docs: DataFrame, id_col: str = "unique_id", text_col: str = "text", tokens: str = "word") -> DataFrame:

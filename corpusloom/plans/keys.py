@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.plans.shared import save
@@ -10,6 +12,20 @@ from corpusloom.plans.shared import save
 HOT_PARTS = 1000
 
 
+def hidden(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., DataFrame]]:
+    """``df`` with columns named by position, so that an operator's own never clash with them; their names; the way back.
+
+    ``back(out, *more)`` gives the columns their names again and adds the columns ``more``, each in the place of one of its name.
+    """
+    named = {n: f"_in{i}" for i, n in enumerate(df.columns)}
+
+    def back(out: DataFrame, *more: str) -> DataFrame:
+        own = {m.lower() for m in more}
+        return out.select(*(F.col(i).alias(n) for n, i in named.items() if n.lower() not in own), *more)
+
+    return df.toDF(*named.values()), named, back
+
+
 def row_key(df: DataFrame, id_col: str, key: str = "_row") -> DataFrame:
     """Add a bigint ``key`` that is unique per row and the same in every later run of the plan.
 
