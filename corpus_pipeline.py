@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm import decontamination, exact_dedup, mixing, quality, simhash
+from corpusloom.plans.keys import hidden
 from corpusloom.plans.shared import save
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier, fitted on the labels, doesn't reject."""
     model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, model, name="_score").filter(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    own, named, back = hidden(docs)
+    return back(quality.score_quality(own, model, named["text"], "_score").filter(F.col("_score") >= quality.THRESHOLD))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,14 +28,15 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontamination.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name="_leaks")
-    return found.filter(F.size("_leaks") == 0).select(*docs.columns)
+    own, named, back = hidden(docs)
+    found = decontamination.find_leaks(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), text_col=named["text"], name="_leaks")
+    return back(found.filter(F.size("_leaks") == 0))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, numbered by ``mix_copy``; those it doesn't take are gone."""
     mixed = mixing.mix(docs).filter("mix_copies > 0")
-    return mixed.select(*docs.columns, "mix_size", "mix_target", F.explode(F.sequence(F.lit(1), "mix_copies")).alias("mix_copy"))
+    return mixed.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).drop("mix_source_size", "mix_copies")
 
 
 STAGES = [

@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpusloom.plans.keys import join_per_key, row_key
+from corpusloom.plans.keys import hidden, join_per_key, row_key
 from corpusloom.plans.shared import save
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -98,9 +98,10 @@ def dedup_batch(docs: DataFrame, index: DigestIndex | None = None, id_col: str =
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Those rows of ``docs`` that stay, all columns as they were."""
-    keyed = row_key(docs, id_col, "_row")
-    gone = dedup_batch(keyed.select(F.col("_row"), F.col(text_col)), None, "_row", text_col).filter(~F.col("kept"))
-    return keyed.join(gone.select(F.col("id").alias("_row")), "_row", "left_anti").select(*docs.columns)
+    own, named, back = hidden(docs)
+    keyed = row_key(own, named[id_col], "_row")
+    gone = dedup_batch(keyed.select("_row", named[text_col]), None, "_row", named[text_col]).filter(~F.col("kept"))
+    return back(keyed.join(gone.select(F.col("id").alias("_row")), "_row", "left_anti"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

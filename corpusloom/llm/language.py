@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.samples import fit, held_out
-from corpusloom.plans.keys import join_per_key
+from corpusloom.plans.keys import hidden, join_per_key
 from corpusloom.plans.shared import save, ship
 
 #: Documents that the trigram model is fitted on, and languages that are told apart, at most.
@@ -33,6 +33,9 @@ MOST_TRIGRAMS, TRIGRAM_WEIGHT = 400, 0.25
 HOST_STRENGTH, DOMAIN_STRENGTH, TABLE_STRENGTH = 5.0, 20.0, 10.0
 
 
+_RESULT = ("host", "declared", "language", "confidence", "posterior")
+
+
 def _trigrams(text: str) -> np.ndarray:
     b = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8).astype(np.uint32)
     if len(b) < 3:
@@ -108,10 +111,12 @@ def _row(n: int, prefix: str = "c"):
 
 def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``pages`` with host, declared, language, confidence and posterior (one share per language)."""
+    own, named, back = hidden(pages)
+    url_col, html_col = named[url_col], named[html_col]
     n = len(languages)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     declared = F.lower(F.regexp_extract(F.coalesce(F.col(html_col), F.lit("")), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
-    p = pages.withColumn("_host", host).withColumn("_domain", F.substring_index("_host", ".", -2)).withColumn("_suffix", F.substring_index("_host", ".", -1))
+    p = own.withColumn("_host", host).withColumn("_domain", F.substring_index("_host", ".", -2)).withColumn("_suffix", F.substring_index("_host", ".", -1))
     p = p.withColumn("_declared", F.when(declared.isin(*languages), declared).otherwise(F.lit("")))
     p = text_evidence(p, visible_text(F.col(html_col)), model, "_text").withColumn("said", _posterior(F.col("_text")))
     # Everything but the page itself is kept: what is joined below is narrow.
@@ -120,7 +125,7 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
     total = by_host.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(n)), F.sum("pages").alias("pages")).first()
     if not total["pages"]:
         none = F.lit(None)
-        return p.select(*pages.columns, F.col("_host").alias("host"), F.col("_declared").alias("declared"), none.cast("string").alias("language"), none.cast("double").alias("confidence"), F.col("said").alias("posterior"))
+        return back(p.withColumns({"host": F.col("_host"), "declared": F.col("_declared"), "language": none.cast("string"), "confidence": none.cast("double"), "posterior": F.col("said")}), *_RESULT)
     overall = [(total[f"c{i}"] + 1 / n) / (total["pages"] + 1) for i in range(n)]
     # P(tag | language), for the few tags that languages have; the same for suffixes, of which there may be more.
     tags = {r["_declared"]: [r[f"c{i}"] for i in range(n)] for r in p.groupBy("_declared").agg(*_sums(n)).collect()}  # one row per language, and none
@@ -145,7 +150,8 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
     logs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.log(smoothed(i)) + F.get(F.element_at(log_tag, F.col("_declared")), i) + F.get("log_suffix", i) + F.get("_text", i))
     j = j.withColumn("posterior", _posterior(logs))
     top = F.array_max("posterior")
-    return j.select(*pages.columns, F.col("_host").alias("host"), F.col("_declared").alias("declared"), F.get(F.array(*map(F.lit, languages)), F.array_position("posterior", top).cast("int") - 1).alias("language"), top.alias("confidence"), "posterior")
+    language = F.get(F.array(*map(F.lit, languages)), F.array_position("posterior", top).cast("int") - 1)
+    return back(j.withColumns({"host": F.col("_host"), "declared": F.col("_declared"), "language": language, "confidence": top}), *_RESULT)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

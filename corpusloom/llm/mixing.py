@@ -6,13 +6,15 @@ met by whole repetitions of all its documents plus one more of those that come f
 
 Cases: null or empty text has size 0 and is taken 0 times; a null source is a source, last in order; an
 empty table gives no rows; equal rows may take different numbers of copies but any run gives the same rows;
-a source whose texts are all empty has target 0; further columns pass through.
+a source whose texts are all empty has target 0; further columns pass through, but for those named
+like a column of the result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from corpusloom.plans.keys import hidden
 from corpusloom.plans.shared import save
 
 #: Documents of a source are dealt in seeded order over so many slices; only one slice of each source is sorted.
@@ -63,7 +65,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     Texts are read twice (sizes, then the rows themselves) and, but for one slice in 1024, never moved.
     """
-    rows = docs.withColumn("mix_size", words(F.col(text_col))).withColumn("_u", _draw(id_col, seed)).withColumn("_slice", F.shiftright("_u", 42).cast("int"))
+    own, named, back = hidden(docs)
+    id_col, text_col, source_col = named[id_col], named[text_col], named[source_col]
+    rows = own.withColumn("mix_size", words(F.col(text_col))).withColumn("_u", _draw(id_col, seed)).withColumn("_slice", F.shiftright("_u", 42).cast("int"))
     slices = save(rows.groupBy(F.col(source_col).alias("source"), F.col("_slice").alias("slice")).agg(F.sum("mix_size").alias("size")), "slices")
     sources = water_fill(cycled_weights(slices.groupBy("source").agg(F.sum("size").alias("source_size")), cycle), times, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
@@ -92,7 +96,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     upto = F.col("_cut_from") + F.sum("mix_size").over(w) - F.col("mix_size")
     edge = joined.filter(F.col("_slice") == F.col("_cut")).withColumn("_more", (upto + F.col("mix_size") / 2.0 <= F.col("_rest")).cast("int"))
     out = clear.unionByName(edge)
-    return out.select(*docs.columns, "mix_size", "mix_source_size", "mix_target", (F.col("_whole") + F.col("_more")).alias("mix_copies"))
+    out = out.withColumn("mix_copies", F.col("_whole") + F.col("_more"))
+    return back(out, "mix_size", "mix_source_size", "mix_target", "mix_copies")
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ sizes over their sum, the better of the two as a share of the text (repeated lin
 text's length become a probability by logistic regression on labelled texts that built no dictionary.
 
 Cases: null text counts as empty; an empty text has a score like any other; without labels of both kinds the score is
-the share of good labels, one each assumed; null or repeated ids and empty tables are no special case; further columns pass through.
+the share of good labels, one each assumed; null or repeated ids and empty tables are no special case; further columns pass through,
+but for one named like the score's.
 """
 
 from __future__ import annotations

@@ -21,8 +21,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.llm.components import components
-from corpusloom.plans.keys import join_per_key, row_key
+from corpusloom.plans.components import components
+from corpusloom.plans.keys import hidden, join_per_key, row_key
 from corpusloom.plans.shared import save, ship
 
 SHINGLE, SEED, TAU, BITS = 3, 42, 3, 64
@@ -268,10 +268,11 @@ def cluster(fps: DataFrame, tau: int = TAU, large: int = LARGE) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of each component, the row with the smallest id; all columns as they were."""
-    keyed = row_key(docs, id_col, "_row")
-    found = cluster(fingerprints(keyed, "_row", text_col))
+    own, named, back = hidden(docs)
+    keyed = row_key(own, named[id_col], "_row")
+    found = cluster(fingerprints(keyed, "_row", named[text_col]))
     gone = save(found.filter("id <> component_id").select(F.col("id").alias("_row")), "gone")
-    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
+    return back(keyed.join(gone, "_row", "left_anti"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
