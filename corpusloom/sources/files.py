@@ -17,7 +17,7 @@ def done(spark: SparkSession, path: str) -> bool:
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, text): each *.txt of a folder, not of those below it, is a document."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(folder)
+    t = spark.read.option("pathGlobFilter", "*.txt").text(folder, wholetext=True)
     return t.select(F.col("_metadata.file_name").alias("doc_id"), F.col("value").alias("text"))
 
 
