@@ -19,6 +19,7 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.plans.shared import ship
@@ -28,8 +29,8 @@ PRETOKEN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Characters that the pattern above and the tokenizer class alike, checked one by one.
 AGREED = r"\x00-\u0557\u1E00-\u1FFF\u2000-\u2070\u2190-\u23FF\u2500-\u27BF\u3041-\u3096\u30A0-\u30FF\u4E00-\u9FEF\uAC00-\uD7A3\uFF00-\uFF60\U0001F300-\U0001F64F"
 SAFE_CUT = r"(?<=[^\s\x1c-\x1f\x85\u180E]) (?=[^\s\x1c-\x1f\x85\u180E])"
-#: Entries of the broadcast table; rows it is counted from (it only saves time, no count depends on it).
-FREQUENT, FREQUENT_ROWS = 65_536, 2_000
+#: Entries of the broadcast table; partitions and rows of each it is counted from (it only saves time, no count depends on it).
+FREQUENT, FREQUENT_PARTS, FREQUENT_ROWS = 65_536, 8, 500
 #: Entries of a worker's cache; beyond it starts anew from the frequent ones. Longer pre-tokens aren't kept.
 CACHED, LONGEST_CACHED, PIECE = 300_000, 48, 1 << 20
 
@@ -90,23 +91,33 @@ def _worker(path: str, frequent) -> Lengths:
     return _lengths[key]
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", rows: int = FREQUENT_ROWS, size: int = FREQUENT) -> dict[str, int]:
-    """The first tier: lengths of the commonest pre-tokens of ``rows`` rows, at most ``size``."""
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", rows: int = FREQUENT_ROWS, parts: int = FREQUENT_PARTS, size: int = FREQUENT) -> dict[str, int]:
+    """The first tier: lengths of the commonest pre-tokens, at most ``size``, of ``rows`` rows of each of the first ``parts`` partitions.
+
+    Tasks of other partitions end before they read.
+    """
     split = regex.compile(PRETOKEN)
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if TaskContext.get().partitionId() >= parts:
+            return
         seen: Counter = Counter()
+        left = rows
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for t in b.column(0).slice(0, left).to_pylist():
                 seen.update(w for w in split.findall(t or "", 0, PIECE) if len(w) <= LONGEST_CACHED)
                 if len(seen) > 8 * size:
                     seen = Counter(dict(seen.most_common(4 * size)))
+            left -= b.num_rows
+            if left <= 0:
+                break
         top = seen.most_common(size)
         lengths = Lengths(path)
-        yield pa.RecordBatch.from_pydict({"w": pa.array([w for w, _ in top], pa.string()), "n": pa.array([lengths[w] for w, _ in top], pa.int32())})
+        cells = {"w": pa.array([w for w, _ in top], pa.string()), "c": pa.array([c for _, c in top], pa.int64()), "n": pa.array([lengths[w] for w, _ in top], pa.int32())}
+        yield pa.RecordBatch.from_pydict(cells)
 
-    sample = docs.select(text_col).limit(rows).repartition(1)
-    return {r["w"]: r["n"] for r in sample.mapInArrow(common, "w string, n int").toLocalIterator()}
+    found = docs.select(text_col).mapInArrow(common, "w string, c bigint, n int").groupBy("w").agg(F.sum("c").alias("c"), F.min("n").alias("n"))
+    return {r["w"]: r["n"] for r in found.orderBy(F.desc("c"), "w").limit(size).collect()}
 
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", limit: int = 1024) -> DataFrame:
