@@ -72,13 +72,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     sources = water_fill(cycled_weights(slices.groupBy("source").agg(F.sum("size").alias("source_size")), cycle), times, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     sources = save(sources.withColumn("whole", whole).withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "sources")
-    # The slice in which a source's running size passes what is still to take.
+    # The slice in which a source's running size passes what is still to take: one that ends there is taken whole.
     w = Window.partitionBy("source").orderBy("slice")
     run = slices.withColumn("upto", F.sum("size").over(w)).withColumnRenamed("source", "_s")
     cut = run.join(sources.select("source", "rest"), F.col("_s").eqNullSafe(F.col("source")))
-    cut = cut.filter((F.col("upto") - F.col("size") < F.col("rest")) & (F.col("upto") > F.col("rest")))
+    cut = cut.filter((F.col("rest") > 0) & (F.col("upto") - F.col("size") <= F.col("rest")) & (F.col("upto") > F.col("rest")))
     cut = cut.groupBy("source").agg(F.min("slice").alias("cut"), F.min(F.col("upto") - F.col("size")).alias("cut_from"))
-    # Without a cut, all slices up to a running size of `rest` are taken: none, or all of them.
+    # Without a cut, nothing is still to take, or no less than the whole source.
     cut = cut.withColumnRenamed("source", "_s")
     plan = sources.join(cut, F.col("_s").eqNullSafe(F.col("source")), "left")
     plan = save(plan.select(

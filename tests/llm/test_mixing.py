@@ -48,3 +48,12 @@ def test_odd_tables(odd):
     assert got.count() == odd.count() and got.columns.count("mix_size") == 1 and got.filter("_u <> 7 or _source <> 7").count() == 0
     assert M.mix(odd.limit(0)).count() == 0
     assert M.mix(odd.filter("text is null")).filter("mix_copies <> 0 or mix_target <> 0").count() == 0
+
+
+@pytest.mark.parametrize("n", [2, 3, 40])
+def test_rest_on_the_edge_of_a_slice(spark, docs_of, n):
+    """Equal sizes: half of a lone source is taken once more, though no slice straddles that."""
+    docs = docs_of([" ".join(["w"] * 10)] * n, sources=("one",))
+    taken = [r["mix_copies"] for r in M.mix(docs).orderBy(M._draw("doc_id", 7)).collect()]
+    want = [2 if i * 10 + 5 <= n * 5 else 1 for i in range(n)]
+    assert taken == want
