@@ -10,6 +10,9 @@ from pyspark.sql import Column, SparkSession, functions as F
 from corpusloom.functions import tashkeel as K
 from corpusloom.plans.shared import ship
 
+#: Characters that stand for words: from U+4E00, then all from U+10000.
+NEAR_SIGNS, FAR_SIGNS = 20_000, 0x100000
+
 _ERROR = "insertions int, deletions int, substitutions int, distance int, ref_length double, error_rate double"
 
 
@@ -64,12 +67,29 @@ def char_distance(ref: Column, hyp: Column) -> Column:
 
 
 def word_distance(ref: Column, hyp: Column) -> Column:
-    """Edit distance over words: each different word stands for one character, of which there are 20,000."""
+    """Edit distance over words: each word that both have stands for one character, all others of a side for one.
+
+    Words of one side alone match nothing, so which of them it is doesn't matter. With more words in common than there
+    are characters (over a million) the query fails.
+    """
+
+    def distance(p: Column) -> Column:
+        r, h, known = p["r"], p["h"], p["known"]
+
+        def sign(w: Column, own: str) -> Column:
+            at = F.array_position(known, w)
+            far = F.decode(F.unhex(F.lpad(F.hex(at - NEAR_SIGNS - 1 + 0x10000), 8, "0")), "UTF-32")
+            return F.when(at == 0, F.lit(own)).when(at <= NEAR_SIGNS, F.substring(signs, at.cast("int"), F.lit(1))).otherwise(far)
+
+        spell = lambda ws, own: F.array_join(F.transform(ws, lambda w: sign(w, own)), "")
+        many = F.size(known) > NEAR_SIGNS + FAR_SIGNS
+        return F.when(many, F.raise_error(F.lit("more words in common than characters")).cast("int")).otherwise(F.levenshtein(spell(r, "r"), spell(h, "h")))
+
+    signs = F.lit("".join(map(chr, range(0x4E00, 0x4E00 + NEAR_SIGNS))))
     r, h = words(ref), words(hyp)
-    known = F.array_distinct(F.concat(r, h))
-    signs = F.lit("".join(map(chr, range(0x4E00, 0x4E00 + 20_000))))
-    spell = lambda ws: F.array_join(F.transform(ws, lambda w: F.substring(signs, F.array_position(known, w).cast("int"), F.lit(1))), "")
-    return F.levenshtein(spell(r), spell(h))
+    # The words are made once: within the lambda they are a value.
+    pair = F.struct(r.alias("r"), h.alias("h"), F.array_intersect(r, h).alias("known"))
+    return F.get(F.transform(F.array(pair), distance), F.lit(0))
 
 
 def tag_distance(ref: Column, hyp: Column) -> Column:

@@ -84,3 +84,15 @@ def test_gibberish_reasons(spark):
     d = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
     got = [r["gibberish_reason"] for r in flag_gibberish(d, LATIN).orderBy("i").collect()]
     assert got == ["null_text", "empty", "repeats", "marks", "no_words", None, "not_script"]
+
+
+@pytest.mark.parametrize("near", [metrics.NEAR_SIGNS, 2])
+def test_word_distance_of_any_number_of_words(spark, monkeypatch, near):
+    """Over 20,000 different words; and words in common beyond the first characters."""
+    monkeypatch.setattr(metrics, "NEAR_SIGNS", near)
+    many = [f"w{i}" for i in range(20_500)]
+    pairs = [(" ".join(many), "w7 w20300 x"), ("a b c d e f g", "a c b d x f g h"), ("a b c", "a b c"), ("a b", "x y z"), ("", "a b"), (None, "a")]
+    d = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, r string, h string")
+    got = [r["d"] for r in d.select("i", metrics.word_distance(F.col("r"), F.col("h")).alias("d")).orderBy("i").collect()]
+    plain = [sum(metrics.edits(r.split(), h.split())) for r, h in pairs[:-1]]
+    assert got == [*plain, None] and got[0] == 20_498
