@@ -2,12 +2,12 @@
 
     log P(language | page) = log prior(host) + log P(declared | language) + log P(suffix | language) + text evidence
 
-The text evidence is that of byte trigrams, fitted on a bounded sample of documents of known language. All other terms
-are counted over all pages by grouped aggregation of what the text says by itself. A host's prior is smoothed
+The text evidence is that of byte trigrams, fitted on a bounded sample of documents of known language, in which each
+language has a document at least. Every language that documents have is told apart. All other terms are counted over all pages by grouped aggregation of what the text says by itself. A host's prior is smoothed
 towards its domain's, and that towards the prior of all pages; a page's own text is taken out of its host's counts.
 
 Cases: null or empty html has no text evidence; null or odd addresses have host, domain and suffix ''; a language tag that no
-document has counts as none; equal rows are counted as often as they stand there; without documents of known language
+document has counts as none; of a language whose documents are all held out or without trigrams the text says nothing; equal rows are counted as often as they stand there; without documents of known language
 the result has no rows, nor has it without pages; further columns pass through.
 """
 
@@ -24,8 +24,12 @@ from corpusloom.llm.samples import fit, held_out
 from corpusloom.plans.keys import hidden, join_per_key
 from corpusloom.plans.shared import save, ship
 
-#: Documents that the trigram model is fitted on, and languages that are told apart, at most.
-SAMPLE_ROWS, MOST_LANGUAGES = 6_000, 200
+#: Documents that the trigram model is fitted on at most, but for one of each language.
+SAMPLE_ROWS = 6_000
+#: Counts by trigram and language that a training waits for before it adds them up.
+WAITING = 1 << 22
+#: Up to so many cells the table of tags is broadcast; beyond it only its hot rows are.
+MOST_BROADCAST = 1_000_000
 SLOTS, SMOOTH = 1 << 16, 0.5
 #: Trigrams of a text depend on each other: a text counts as so many of them at most, at this weight.
 MOST_TRIGRAMS, TRIGRAM_WEIGHT = 400, 0.25
@@ -44,28 +48,51 @@ def _trigrams(text: str) -> np.ndarray:
 
 
 def _trainer(n: int):
+    """A table of the trigrams that were seen, by slot and language, so its size is that of the sample, not of ``n``."""
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+        return keys, np.bincount(at, np.concatenate([c for _, c in parts]), len(keys))
+
     def train(rows: Iterator[tuple[str, int]]) -> bytes:
-        counts = np.full((n, SLOTS), SMOOTH)
+        parts, waiting = [(np.empty(0, np.int64), np.empty(0))], 0
         for text, label in rows:
-            counts[label] += np.bincount(_trigrams(text), minlength=SLOTS)
-        return pickle.dumps(np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32))
+            slots, times = np.unique(_trigrams(text), return_counts=True)
+            parts.append((slots * n + label, times.astype(np.float64)))
+            waiting += len(slots)
+            if waiting > WAITING:
+                parts, waiting = [merged(parts)], 0
+        keys, counts = merged(parts)
+        labels = keys % n
+        totals = np.bincount(labels, counts, n)
+        return pickle.dumps({
+            "starts": np.searchsorted(keys // n, np.arange(SLOTS + 1)), "labels": labels.astype(np.int32), "gains": np.log1p(counts / SMOOTH).astype(np.float32),
+            "unseen": np.log(SMOOTH / (SMOOTH * SLOTS + totals)), "taught": totals > 0,
+        })
 
     return train
 
 
 def fit_languages(docs: DataFrame, max_rows: int = SAMPLE_ROWS) -> tuple[list[str], bytes]:
-    """Languages by code point, and the log probability of each trigram slot in each."""
+    """Languages by code point, and the log probability of each trigram slot in each.
+
+    A language's first document in a hashed order of ids is always learnt from. Others come by the place that they may be
+    expected to have among those of their language, so rare languages are learnt whole and common ones equally.
+    """
+    teaches = ~held_out("doc_id") & (F.coalesce(F.octet_length("text"), F.lit(0)) >= 3)
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    languages = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    languages.sort()
+    known = known.select(F.col("doc_id").alias("k"), "lang", teaches.alias("teaches"), F.crc32(F.concat(F.lit("language:"), F.col("doc_id").cast("string"))).alias("h"))
+    found = known.groupBy("lang").agg(F.count_if("teaches").alias("n"), F.min(F.when(F.col("teaches"), F.struct("h", "k"))).alias("first"))
+    found = save(found, "languages")
+    languages = sorted(r["lang"] for r in found.select("lang").collect())
     if not languages:
         return [], b""
     label = F.array_position(F.array(*map(F.lit, languages)), F.col("lang")).cast("int") - 1
-    order = F.crc32(F.concat(F.lit("language:"), F.col("doc_id").cast("string")))
-    ids = known.filter(~held_out("doc_id")).select(F.col("doc_id").alias("k"), label.alias("label")).filter("label >= 0").dropDuplicates(["k"])
-    ids = ids.orderBy(F.crc32(F.concat(F.lit("language:"), F.col("k").cast("string"))), "k").limit(max_rows)
-    texts = docs.select(F.col("doc_id").alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    return languages, fit(texts.join(F.broadcast(ids), "k"), _trainer(len(languages)))
+    place = F.when(F.struct("h", "k") == F.col("first"), F.lit(-1.0)).otherwise(F.col("h") * F.col("n").cast("double"))
+    ids = known.filter("teaches").join(F.broadcast(found.withColumn("label", label)), "lang").select("k", "lang", "label", "h", place.alias("place")).dropDuplicates(["k", "lang"])
+    ids = ids.orderBy("place", "h", "k", "label").limit(max(max_rows, len(languages))).select("k", "lang", "label")
+    texts = docs.select(F.col("doc_id").alias("k"), "lang", F.coalesce("text", F.lit("")).alias("text"))
+    return languages, fit(texts.join(F.broadcast(ids), ["k", "lang"]), _trainer(len(languages)))
 
 
 def visible_text(html):
@@ -77,36 +104,61 @@ def visible_text(html):
 
 
 def text_evidence(docs: DataFrame, text, model: bytes, name: str = "evidence") -> DataFrame:
-    """``docs`` with the weighed log likelihood of ``text`` in each language."""
+    """``docs`` with the weighed log likelihood of ``text`` in each language; null for those that the model wasn't taught."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("array<double>")
     def evidence(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = pickle.loads(shared.value)
+        m = pickle.loads(shared.value)
+        starts, labels, gains, unseen = m["starts"], m["labels"], m["gains"], m["unseen"]
+        untaught = np.flatnonzero(~m["taught"]) if m["taught"].any() else ()
         for texts in batches:
             out = []
             for t in texts:
                 i = _trigrams(t)
                 weight = TRIGRAM_WEIGHT * min(1.0, MOST_TRIGRAMS / max(1, len(i)))
-                out.append((table[:, i].sum(1, dtype=np.float64) * weight).tolist())
+                slots, times = np.unique(i, return_counts=True)
+                size = starts[slots + 1] - starts[slots]
+                at = np.repeat(starts[slots] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                logs = ((unseen * len(i) + np.bincount(labels[at], gains[at] * np.repeat(times, size), len(unseen))) * weight).tolist()
+                for k in untaught:
+                    logs[k] = None
+                out.append(logs)
             yield pd.Series(out)
 
     return docs.withColumn(name, evidence(text))
 
 
+def _let(value, then):
+    """``then(value)``, where the value is made once, not anew for each element of an array."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _total(values):
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
+def _likelihoods(logs, then):
+    """``then`` of the logs' largest, and of all as shares of that; what is null has none."""
+    return _let(logs, lambda v: _let(F.array_max(v), lambda top: _let(F.transform(v, lambda x: F.coalesce(F.exp(x - top), F.lit(0.0))), lambda e: then(top, e))))
+
+
 def _posterior(logs):
-    top = F.array_max(logs)
-    e = F.transform(logs, lambda x: F.exp(x - top))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, y: a + y))
+    return _likelihoods(logs, lambda top, e: _let(_total(e), lambda s: F.transform(e, lambda x: x / s)))
 
 
-def _sums(n: int) -> list:
-    return [F.sum(F.get("said", F.lit(i))).alias(f"c{i}") for i in range(n)]
+def _silent(logs):
+    """The mean likelihood, as a log, of the languages whose likelihood is known: what stands for one that isn't."""
+    return _likelihoods(logs, lambda top, e: top + F.log(_total(e) / F.size(F.filter(logs, lambda x: x.isNotNull()))))
 
 
-def _row(n: int, prefix: str = "c"):
-    return F.array(*(F.col(f"{prefix}{i}") for i in range(n)))
+def _summed(d: DataFrame, counts: str, pages, *keys: str) -> DataFrame:
+    """(keys, pages, c): the arrays ``counts`` added up, as rows per place of the array, which may be any number."""
+    d = d.select(*keys, pages.alias("_n"), F.posexplode(counts).alias("_i", "_x"))
+    d = d.groupBy(*keys, "_i").agg(F.sum("_n").alias("_n"), F.sum("_x").alias("_x"))
+    c = F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda s: s["_x"])
+    return d.groupBy(*keys).agg(F.max("_n").alias("pages"), c.alias("c"))
 
 
 def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -121,25 +173,28 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
     p = text_evidence(p, visible_text(F.col(html_col)), model, "_text").withColumn("said", _posterior(F.col("_text")))
     # Everything but the page itself is kept: what is joined below is narrow.
     p = save(p, "evidence")
-    by_host = save(p.groupBy("_host", "_domain", "_suffix").agg(F.count("*").alias("pages"), *_sums(n)), "hosts")
-    total = by_host.agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(n)), F.sum("pages").alias("pages")).first()
-    if not total["pages"]:
+    by_host = save(_summed(p, "said", F.lit(1), "_host", "_domain", "_suffix"), "hosts")
+    total = _summed(by_host, "c", F.col("pages")).first()
+    if not total or not total["pages"]:
         none = F.lit(None)
         return back(p.withColumns({"host": F.col("_host"), "declared": F.col("_declared"), "language": none.cast("string"), "confidence": none.cast("double"), "posterior": F.col("said")}), *_RESULT)
-    overall = [(total[f"c{i}"] + 1 / n) / (total["pages"] + 1) for i in range(n)]
-    # P(tag | language), for the few tags that languages have; the same for suffixes, of which there may be more.
-    tags = {r["_declared"]: [r[f"c{i}"] for i in range(n)] for r in p.groupBy("_declared").agg(*_sums(n)).collect()}  # one row per language, and none
-    share = 1 / len(tags)
-    log_tag = F.create_map(*(x for t, c in tags.items() for x in (F.lit(t), F.array(*(F.lit(float(np.log((c[i] + TABLE_STRENGTH * share) / (total[f"c{i}"] + TABLE_STRENGTH)))) for i in range(n))))))
-    sums = [F.sum(f"c{i}").alias(f"c{i}") for i in range(n)]
-    suffixes = by_host.groupBy("_suffix").agg(*sums, F.sum("pages").alias("n"))
-    many = suffixes.count()
-    log_suffix = F.array(*(F.log((F.col(f"c{i}") + TABLE_STRENGTH / many) / (total[f"c{i}"] + TABLE_STRENGTH)) for i in range(n)))
-    suffixes = suffixes.select("_suffix", log_suffix.alias("log_suffix"))
-    domains = by_host.groupBy("_domain").agg(*(F.sum(f"c{i}").alias(f"d{i}") for i in range(n)), F.sum("pages").alias("domain_pages"))
+    overall = [(c + 1 / n) / (total["pages"] + 1) for c in total["c"]]
+    totals = F.array(*map(F.lit, total["c"]))
+
+    def log_share(table: DataFrame, name: str) -> DataFrame:
+        """``table`` with the log of each language's share of what its rows count."""
+        many = table.count()
+        return table.withColumn(name, F.transform("c", lambda x, i: F.log((x + TABLE_STRENGTH / many) / (F.get(totals, i) + TABLE_STRENGTH))))
+
+    # P(tag | language); the same for suffixes. There is a row per language that a page declares, and one for none.
+    tags = log_share(save(_summed(p, "said", F.lit(1), "_declared"), "tags"), "log_tag").select("_declared", F.col("pages").alias("tag_pages"), "log_tag")
+    suffixes = log_share(_summed(by_host, "c", F.col("pages"), "_suffix"), "log_suffix").select("_suffix", "log_suffix")
+    domains = _summed(by_host, "c", F.col("pages"), "_domain").select("_domain", F.col("pages").alias("domain_pages"), F.col("c").alias("domain_c"))
     prior = by_host.join(domains, "_domain").join(suffixes, "_suffix")
-    prior = save(prior.select("_host", "pages", "domain_pages", "log_suffix", _row(n).alias("host_c"), _row(n, "d").alias("domain_c")), "priors")
+    prior = save(prior.select("_host", "pages", "domain_pages", "log_suffix", F.col("c").alias("host_c"), "domain_c"), "priors")
     j = join_per_key(p, prior, "_host", "pages", total["pages"])
+    j = j.join(F.broadcast(tags), "_declared") if (n + 1) * n <= MOST_BROADCAST else join_per_key(j, save(tags, "tags"), "_declared", "tag_pages", total["pages"])
+    j = j.withColumn("_silent", _silent(F.col("_text")))
     alpha = F.array(*map(F.lit, overall))
 
     def smoothed(i):
@@ -147,7 +202,7 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
         domain = (F.get("domain_c", i) - own + DOMAIN_STRENGTH * F.get(alpha, i)) / (F.col("domain_pages") - 1 + DOMAIN_STRENGTH)
         return (F.greatest(F.get("host_c", i) - own, F.lit(0.0)) + HOST_STRENGTH * F.greatest(domain, F.lit(1e-9))) / (F.col("pages") - 1 + HOST_STRENGTH)
 
-    logs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.log(smoothed(i)) + F.get(F.element_at(log_tag, F.col("_declared")), i) + F.get("log_suffix", i) + F.get("_text", i))
+    logs = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.log(smoothed(i)) + F.get("log_tag", i) + F.get("log_suffix", i) + F.coalesce(F.get("_text", i), F.col("_silent")))
     j = j.withColumn("posterior", _posterior(logs))
     top = F.array_max("posterior")
     language = F.get(F.array(*map(F.lit, languages)), F.array_position("posterior", top).cast("int") - 1)

@@ -40,3 +40,32 @@ def test_other_evidence_decides_where_text_is_silent(spark, model):
 def test_query(spark, sf):
     got = L.op2_language_id(spark, sf)
     assert got.count() == spark.read.parquet(f"{sf}/pages.parquet").count() and got.filter("language is null").count() == 0
+
+
+def _many(spark, n: int):
+    """Documents in ``n`` rare languages of own words and in a common one; the ids of a last language are all held out."""
+    import random
+    import zlib
+
+    rng, rows = random.Random(4), []
+    said = {f"l{chr(97 + i // 26)}{chr(97 + i % 26)}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(30)] for i in range(n)}
+    ids = iter(range(10**6))
+    for lang, words in said.items():
+        rows += [(k, " ".join(rng.choices(words, k=80)), lang) for k in [next(i for i in ids if zlib.crc32(str(i).encode()) % 5) for _ in range(2)]]
+    rows += [(next(ids), " ".join(rng.choices("the cat and a dog are not in this house".split(), k=80)), "en") for _ in range(3_000)]
+    rows += [(next(i for i in ids if zlib.crc32(str(i).encode()) % 5 == 0), "held out words alone", "zz")]
+    return said, spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+
+
+@pytest.mark.parametrize("most", [L.MOST_BROADCAST, 0])
+def test_all_languages_are_told_apart_and_learnt(spark, monkeypatch, most):
+    monkeypatch.setattr(L, "MOST_BROADCAST", most)
+    said, docs = _many(spark, 230 if most else 30)
+    languages, raw = L.fit_languages(docs, max_rows=100)
+    assert languages == sorted([*said, "en", "zz"])
+    rows = [(i, "http://one.example/", f"<html lang={lang}><p>{' '.join(words * 2)}") for i, (lang, words) in enumerate(said.items())]
+    rows += [(1_000 + i, "http://one.example/", x) for i, x in enumerate(("<p>" + "ЖЩ " * 300, "<p>" + "9#" * 300, ""))]
+    got = {r["page_id"]: r for r in L.identify_pages(spark.createDataFrame(rows, "page_id bigint, url string, html string"), languages, raw).collect()}
+    assert len(got) == len(rows)
+    assert [(got[i]["declared"], got[i]["language"]) for i in range(len(said))] == [(lang, lang) for lang in said]
+    assert all(r["language"] != "zz" and abs(sum(r["posterior"]) - 1) < 1e-9 for r in got.values())
