@@ -89,7 +89,7 @@ def render(messages: DataFrame) -> DataFrame:
 
 
 def read_back(rendered: DataFrame) -> DataFrame:
-    """Add ``turns`` (role, text) and ``loss_texts``, both parsed from ``formatted``, in linear time."""
+    """Add ``turns`` (role, text), ``loss_texts`` and, in place of what was counted before, ``n_turns``, parsed from ``formatted``, in linear time."""
     parts = F.split("formatted", re.escape(TURN), -1)
     r = rendered.withColumn("parts", F.slice(parts, F.lit(2), F.size(parts)))
     turns = F.transform(
@@ -109,7 +109,8 @@ def read_back(rendered: DataFrame) -> DataFrame:
             )
         ),
     )
-    return r.withColumn("turns", turns).withColumn("loss_texts", loss).drop("parts")
+    r = r.withColumn("turns", turns).withColumn("loss_texts", loss).drop("parts")
+    return r.withColumn("n_turns", F.size("turns").cast("bigint"))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:

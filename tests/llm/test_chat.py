@@ -51,3 +51,11 @@ def test_query(spark, sf):
     assert got[-7]["turns_sha256"] == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
     assert got[-7]["loss_chars"] == len(said) and got[-7]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
     assert len(got) == spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id").distinct().count() + 1
+
+
+def test_turns_are_counted_in_the_text(spark):
+    """A turn that the text lacks isn't counted, whatever went in."""
+    m = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c")], "conv_id bigint, turn bigint, role string, text string")
+    whole = chat.render(m)
+    cut = whole.withColumn("formatted", F.substring_index("formatted", chat.END, 2))
+    assert [chat.read_back(d).first()["n_turns"] for d in (whole, cut)] == [3, 2]
