@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from corpusloom.llm import decontamination as D
@@ -47,12 +48,20 @@ def test_against_brute_force(spark, docs_of, monkeypatch):
     docs += [None, "", "ONE", "two words", "a b c d", "A B C D E", "one two words one"]
     table = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
     want = brute(dict(enumerate(docs)), items)
-    for block_bytes, block_words in ((D.BLOCK_BYTES, D.BLOCK_WORDS), (300, 50)):
-        monkeypatch.setattr(D, "BLOCK_BYTES", block_bytes)
-        monkeypatch.setattr(D, "BLOCK_WORDS", block_words)
-        got = {(r["doc_id"], x["item_id"], x["shared"], x["shingles"]) for r in D.find_leaks(docs_of(docs), table).collect() for x in r["leaks"]}
-        assert got == want
+    for item_bytes, common in ((D.ITEM_BYTES, D.COMMON), (1_500, 0)):
+        monkeypatch.setattr(D, "ITEM_BYTES", item_bytes)
+        monkeypatch.setattr(D, "COMMON", common)
+        got = [tuple(r) for r in D.find_leaks(docs_of(docs), table).collect()]
+        assert set(got) == want and len(got) == len(want)
+        left = {r["doc_id"] for r in D.drop_leaking(docs_of(docs), table).collect()}
+        assert left == set(range(len(docs))) - {x[0] for x in want}
     assert 15 < len(want) < len(docs) * len(items)
+    for block in (40, 100, 1_000):  # texts in pieces
+        monkeypatch.setattr(D, "BLOCK_BYTES", block)
+        sought = D.Items(list(items.items()))
+        for d, text in enumerate(docs):
+            raw = np.frombuffer((text or "").encode(), np.uint8)
+            assert {(d, sought.ids[k], n, sought.sizes[k]) for _, k, n in sought.find(raw, np.array([0, len(raw)]))} == {x for x in want if x[0] == d}
 
 
 @pytest.mark.parametrize("threshold", [0.5, 1.0])
@@ -60,11 +69,15 @@ def test_other_thresholds(docs_of, spark, threshold):
     item = "a1 a2 a3 a4 a5 a6 a7 a8 a9 a10 a11 a12"
     docs = [item, item.replace("a12", "x"), item.replace("a6", "x"), "y " + item]
     got = D.find_leaks(docs_of(docs), spark.createDataFrame([(0, item)], "item_id bigint, text string"), threshold)
-    assert {(r["doc_id"], 0, x["shared"], x["shingles"]) for r in got.collect() for x in r["leaks"]} == brute(dict(enumerate(docs)), {0: item}, threshold)
+    assert {tuple(r) for r in got.collect()} == brute(dict(enumerate(docs)), {0: item}, threshold)
 
 
 def test_odd_tables(odd, spark):
-    items = spark.createDataFrame([(None, "x y z"), (1, None), (2, "a b c d e f")], "item_id bigint, text string")
-    got = D.find_leaks(odd, items)
-    assert got.count() == odd.count() and sorted(len(r["leaks"]) for r in got.collect())[-3:] == [1, 1, 1]
-    assert D.find_leaks(odd, items.limit(0)).filter("size(leaks) > 0").count() == 0 and D.find_leaks(odd.limit(0), items).count() == 0
+    items = spark.createDataFrame([(None, "x y z"), (1, None), (2, "a b c d e f"), (3, "words long words")], "item_id bigint, text string")
+    got = sorted(map(tuple, D.find_leaks(odd, items).collect()), key=str)
+    assert got == [(1, 2, 2, 2), (1, 2, 2, 2), (5, 3, 1, 1), (None, None, 1, 1)]
+    left = D.drop_leaking(odd, items)
+    assert left.columns == odd.columns and sorted((r["doc_id"] or -1) for r in left.collect()) == [-1, 2, 3, 4]
+    for none in (D.find_leaks(odd, items.limit(0)), D.find_leaks(odd.limit(0), items), D.drop_leaking(odd.limit(0), items)):
+        assert none.count() == 0
+    assert D.drop_leaking(odd, items.limit(0)).count() == odd.count()
