@@ -28,9 +28,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    own, named, back = hidden(docs)
-    found = decontamination.find_leaks(own, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), text_col=named["text"], name="_leaks")
-    return back(found.filter(F.size("_leaks") == 0))
+    return decontamination.drop_leaking(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
