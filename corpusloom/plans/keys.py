@@ -10,6 +10,8 @@ from corpusloom.plans.shared import save
 
 #: A key with at least one of so many rows is hot. At most HOT_PARTS keys can be.
 HOT_PARTS = 1000
+#: Slots of the filter in ``without``.
+SLOTS = 1 << 20
 
 
 def hidden(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., DataFrame]]:
@@ -27,11 +29,11 @@ def hidden(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[..., Data
 
 
 def row_key(df: DataFrame, id_col: str, key: str = "_row") -> DataFrame:
-    """Add a bigint ``key`` that is unique per row and the same in every later run of the plan.
+    """Add a bigint ``key`` that is unique per row, in the order of ``id_col`` (null last), and the same in every later run of the plan.
 
     ``id_col`` itself serves where it is an integer, never null and never repeated (one job over the
-    ids alone tells). Otherwise the rows are written to the shared folder with numbers, as numbers
-    drawn anew by a recomputed task could differ.
+    ids alone tells). Otherwise the rows are sorted and written to the shared folder with numbers, as numbers
+    drawn anew by a recomputed task could differ. Rows of equal id are spread over tasks by the hash of all they hold.
     """
     kind = dict(df.dtypes)[id_col]
     if kind in ("bigint", "int", "smallint", "tinyint"):
@@ -42,7 +44,22 @@ def row_key(df: DataFrame, id_col: str, key: str = "_row") -> DataFrame:
         )
         if n == ids == distinct:
             return df.withColumn(key, F.col(id_col).cast("bigint"))
-    return save(df.withColumn(key, F.monotonically_increasing_id()), "rows")
+    whole = F.xxhash64(*(F.col(f"`{c.replace('`', '``')}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t))
+    return save(df.sort(F.col(id_col).asc_nulls_last(), whole).withColumn(key, F.monotonically_increasing_id()), "rows")
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows`` but those whose ``key`` stands in ``gone``, a written table of that column alone.
+
+    Wide rows aren't shuffled for the sake of a few: the slots of the keys that go are broadcast, at most SLOTS of them whatever
+    the input, and only rows whose slot is among them are joined to ``gone``. ``rows`` are read twice.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+    slots = save(gone.select(slot.alias("_slot")).distinct(), "slots")
+    dealt = rows.withColumn("_slot", slot)
+    clear = dealt.join(F.broadcast(slots), "_slot", "left_anti")
+    doubtful = dealt.join(F.broadcast(slots), "_slot", "left_semi").join(gone, key, "left_anti")
+    return clear.unionByName(doubtful).drop("_slot")
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, key: str | list[str], size_col: str, total: int) -> DataFrame:

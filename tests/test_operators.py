@@ -100,6 +100,21 @@ def test_hot_keys_join_like_others(spark, monkeypatch):
     assert sorted(map(tuple, keys.join_per_key(rows, per, "k", "n", 2_000).collect())) == sorted(map(tuple, rows.join(per, "k").collect()))
 
 
+def test_rows_go_without_moving_the_rest(spark, monkeypatch):
+    d = spark.createDataFrame([(i if i % 50 else None, "x" * i) for i in range(300)], "k bigint, t string")
+    for gone in ([], [7], [*range(0, 300, 3), 999], list(range(300))):
+        g = spark.createDataFrame([(i,) for i in gone], "k bigint")
+        for slots in (keys.SLOTS, 3):
+            monkeypatch.setattr(keys, "SLOTS", slots)
+            assert sorted(len(r["t"]) for r in keys.without(d, g, "k").collect()) == [i for i in range(300) if i % 50 == 0 or i not in gone]
+
+
+def test_row_keys_go_by_id(spark):
+    d = spark.createDataFrame([(5, "a"), (None, "b"), (2, "c"), (5, "d"), (None, "b")], "i bigint, t string").repartition(3)
+    got = keys.row_key(d, "i", "n").orderBy("n").collect()
+    assert [r["i"] for r in got] == [2, 5, 5, None, None] and len({r["n"] for r in got}) == 5
+
+
 def test_hidden_columns_come_back(spark):
     d = spark.createDataFrame([(1, 2, 3)], "_in0 int, `a.b` int, X int")
     own, named, back = keys.hidden(d)
