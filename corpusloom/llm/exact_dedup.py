@@ -5,7 +5,8 @@ DataFrame functions are used. Of equal texts the row with the smallest id stays;
 with the same id and text exactly one does.
 
 Cases: null text counts as empty; a null id comes after all others; an empty table gives no rows
-and leaves the index as it was; further columns pass through ``drop_duplicates`` untouched.
+and leaves the index as it was; very long texts are hashed whole, like others; further columns pass through
+``drop_duplicates`` untouched and have no part in ``dedup_batch``.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from corpusloom.plans.keys import hidden, join_per_key, row_key
+from corpusloom.plans.keys import hidden, join_per_key, row_key, without
 from corpusloom.plans.shared import save
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -30,37 +31,47 @@ def digest(text: Column) -> Column:
 
 
 class DigestIndex:
-    """A table (digest, keep_id, group_size) in the session's warehouse, bucketed and sorted by digest.
+    """A table (digest, keep_id, group_size, batch) in the session's warehouse, bucketed and sorted by digest.
 
     The index is never shuffled: new digests are brought to its buckets, sort-merge anti-joined
     against it and appended. ``group_size`` is that of the batch that brought the digest.
     """
 
-    def __init__(self, spark: SparkSession, table: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, table: str, buckets: int = 64, id_type: str = "bigint"):
         self.spark, self.table, self.buckets = spark, table, buckets
-
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.table)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} (digest BINARY, keep_id {id_type}, group_size BIGINT, batch STRING) "
+            f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS"
+        )
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
     def unseen(self, groups: DataFrame) -> DataFrame:
         """Those rows of ``groups`` whose digest the index doesn't hold."""
-        return groups.join(self.read().select("digest").hint("merge"), "digest", "left_anti") if self.exists() else groups
+        return self._dealt(groups).join(self.read().select("digest").hint("merge"), "digest", "left_anti")
+
+    def _dealt(self, groups: DataFrame) -> DataFrame:
+        """Dealt as the index is, or the planner might rather shuffle an index of few buckets. No join is moved below an observation."""
+        return groups.repartition(self.buckets, "digest").observe("dealt", F.count("*").alias("groups"))
 
-    def append(self, groups: DataFrame) -> None:
+    def append(self, groups: DataFrame, batch: str) -> None:
         """Add ``groups`` (digest, keep_id, group_size), one file per bucket and batch."""
-        (groups.select("digest", "keep_id", "group_size").repartition(self.buckets, "digest")
+        (groups.select("digest", "keep_id", "group_size", F.lit(batch).alias("batch")).repartition(self.buckets, "digest")
          .write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").mode("append").saveAsTable(self.table))
 
+    def held(self, groups: DataFrame) -> DataFrame:
+        """``groups`` (digest, ...) with held_id and batch of those that the index holds."""
+        return self._dealt(groups).join(self.read().select("digest", F.col("keep_id").alias("held_id"), "batch").hint("merge"), "digest")
+
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """(id, row, digest) of every row, written once; texts aren't moved. ``row`` tells equal rows apart."""
-    return save(docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), digest(F.col(text_col)).alias("digest")), "digests")
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    return save(docs.select(F.col(id_col).alias("id"), row.alias("row"), digest(F.col(text_col)).alias("digest")), "digests")
 
 
 def groups(found: DataFrame) -> DataFrame:
@@ -72,43 +83,42 @@ def groups(found: DataFrame) -> DataFrame:
     )
 
 
-def dedup_batch(docs: DataFrame, index: DigestIndex | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: (id, row, keep_id, group_size, kept, digest); new digests join ``index``.
+def dedup_batch(docs: DataFrame, index: DigestIndex, batch: str | None = None, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: (id, row, keep_id, group_size, kept, digest), after its new digests joined ``index``.
 
-    With an index, texts that it held before are dropped whole: their keep_id is the one it holds.
+    Which id stays is what the index then holds: texts of earlier batches are dropped whole. A batch that is given
+    again under its name, after a failure say, has the same result. ``group_size`` is the group's in this batch.
     """
-    found = digests(docs, id_col, text_col)
+    batch = batch or uuid.uuid4().hex
+    found = digests(docs, id_col, text_col, row_col)
     by = save(groups(found), "groups")
-    out = join_per_key(found, by, "digest", "group_size", found.count())
-    kept = F.col("row") == F.col("keep_row")
-    if index is None:
-        return out.select("id", "row", "keep_id", "group_size", kept.alias("kept"), "digest")
-    new = save(index.unseen(by), "unseen")
-    if index.exists():
-        seen = index.read().select("digest", F.col("keep_id").alias("seen_id"), F.lit(True).alias("seen"))
-        known = save(by.join(seen.hint("merge"), "digest", "left"), "known")
-        out = join_per_key(found, known, "digest", "group_size", found.count())
-        seen = F.coalesce("seen", F.lit(False))
-        out = out.withColumn("keep_id", F.when(seen, F.col("seen_id")).otherwise(F.col("keep_id")))
-        kept = kept & ~seen
-    out = out.select("id", "row", "keep_id", "group_size", kept.alias("kept"), "digest")
-    index.append(new)
-    return out
+    index.append(index.unseen(by), batch)
+    row = F.when(F.col("batch") == batch, F.col("keep_row"))
+    known = save(index.held(by).select("digest", F.col("held_id").alias("keep_id"), row.alias("keep_row"), "group_size"), "known")
+    out = join_per_key(found, known, "digest", "group_size", found.count())
+    return out.select("id", "row", "keep_id", "group_size", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False)).alias("kept"), "digest")
+
+
+def dedup_alone(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``dedup_batch`` against an index of its own, empty at first, dropped once the result's tables are written."""
+    spark = docs.sparkSession
+    index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex[:12]}", int(spark.conf.get("spark.sql.shuffle.partitions")), dict(docs.dtypes)[id_col])
+    try:
+        return dedup_batch(docs, index, None, id_col, text_col, row_col)
+    finally:
+        index.drop()
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Those rows of ``docs`` that stay, all columns as they were."""
     own, named, back = hidden(docs)
     keyed = row_key(own, named[id_col], "_row")
-    gone = dedup_batch(keyed.select("_row", named[text_col]), None, "_row", named[text_col]).filter(~F.col("kept"))
-    return back(keyed.join(gone.select(F.col("id").alias("_row")), "_row", "left_anti"))
+    found = dedup_alone(keyed.select(named[id_col], "_row", named[text_col]), named[id_col], named[text_col], "_row")
+    return back(without(keyed, save(found.filter(~F.col("kept")).select(F.col("row").alias("_row")), "gone"), "_row"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex[:12]}", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    out = dedup_batch(docs, index)
-    index.drop()  # this query's own; a pipeline keeps its index from batch to batch
+    out = dedup_alone(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return out.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )
