@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 
 from corpusloom.llm import mixing as M
@@ -50,7 +51,19 @@ def test_odd_tables(odd):
     assert M.mix(odd.filter("text is null")).filter("mix_copies <> 0 or mix_target <> 0").count() == 0
 
 
-@pytest.mark.parametrize("n", [2, 3, 40])
+@pytest.mark.parametrize(("slices", "few"), [(1024, 50_000), (4, 3), (2, 0)])
+def test_slices_of_any_size_take_the_same(spark, docs_of, monkeypatch, slices, few):
+    """Against the SQL, which sorts whole sources."""
+    monkeypatch.setattr(M, "SLICES", slices)
+    monkeypatch.setattr(M, "FEW", few)
+    docs = docs_of([" ".join(["w"] * (i * 7 % 40)) for i in range(400)] + [" ".join(["w"] * 10)] * 300, sources=("a", "b", "b", "b", None))
+    got = {(r["doc_id"], r["mix_size"] * r["mix_copies"]) for r in M.mix(docs).collect()}
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    assert got == set(con.execute(f"SELECT doc_id, taken FROM ({M.OP7_SQL})").fetchall())
+
+
+@pytest.mark.parametrize("n", [2, 3, 20, 40])
 def test_rest_on_the_edge_of_a_slice(spark, docs_of, n):
     """Equal sizes: half of a lone source is taken once more, though no slice straddles that."""
     docs = docs_of([" ".join(["w"] * 10)] * n, sources=("one",))
