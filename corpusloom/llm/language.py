@@ -3,12 +3,15 @@
     log P(language | page) = log prior(host) + log P(declared | language) + log P(suffix | language) + text evidence
 
 The text evidence is that of byte trigrams, fitted on a bounded sample of documents of known language, in which each
-language has a document at least. Every language that documents have is told apart. All other terms are counted over all pages by grouped aggregation of what the text says by itself. A host's prior is smoothed
-towards its domain's, and that towards the prior of all pages; a page's own text is taken out of its host's counts.
+language has a document at least. Every language that documents have is told apart. All other terms are counted over all pages by
+grouped aggregation of what the text says by itself. A host's prior is smoothed towards its domain's, and that towards the prior
+of all pages; a page's own text is taken out of its host's counts.
 
 Cases: null or empty html has no text evidence; null or odd addresses have host, domain and suffix ''; a language tag that no
-document has counts as none; of a language whose documents are all held out or without trigrams the text says nothing; equal rows are counted as often as they stand there; without documents of known language
-the result has no rows, nor has it without pages; further columns pass through.
+document has counts as none; of a language whose documents are all held out or without trigrams the text says nothing; equal
+rows are counted as often as they stand there; very long pages are read whole; null and repeated ids are no special case; without
+documents of known language the result has no rows, nor has it without pages; further columns pass through, but those named like
+one of the result (host, declared, language, confidence, posterior) are replaced.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.samples import fit, held_out
-from corpusloom.plans.keys import hidden, join_per_key
+from corpusloom.plans.keys import hidden, join_per_key, row_key
 from corpusloom.plans.shared import save, ship
 
 #: Documents that the trigram model is fitted on at most, but for one of each language.
@@ -161,9 +164,15 @@ def _summed(d: DataFrame, counts: str, pages, *keys: str) -> DataFrame:
     return d.groupBy(*keys).agg(F.max("_n").alias("pages"), c.alias("c"))
 
 
-def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def _by_hosts(by_host: DataFrame, key: str) -> DataFrame:
+    """(key, pages, c, hosts): what the hosts of each domain or suffix sum up to, and how many there are."""
+    return _summed(by_host, "c", F.col("pages"), key).join(by_host.groupBy(key).agg(F.count("*").alias("hosts")), key)
+
+
+def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col: str = "url", html_col: str = "html", id_col: str = "page_id") -> DataFrame:
     """``pages`` with host, declared, language, confidence and posterior (one share per language)."""
     own, named, back = hidden(pages)
+    own = row_key(own, named[id_col])
     url_col, html_col = named[url_col], named[html_col]
     n = len(languages)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
@@ -171,13 +180,13 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
     p = own.withColumn("_host", host).withColumn("_domain", F.substring_index("_host", ".", -2)).withColumn("_suffix", F.substring_index("_host", ".", -1))
     p = p.withColumn("_declared", F.when(declared.isin(*languages), declared).otherwise(F.lit("")))
     p = text_evidence(p, visible_text(F.col(html_col)), model, "_text").withColumn("said", _posterior(F.col("_text")))
-    # Everything but the page itself is kept: what is joined below is narrow.
-    p = save(p, "evidence")
+    # The page itself isn't kept: what is joined below is narrow.
+    p = save(p.select("_row", "_host", "_domain", "_suffix", "_declared", "_text", "said"), "evidence")
     by_host = save(_summed(p, "said", F.lit(1), "_host", "_domain", "_suffix"), "hosts")
     total = _summed(by_host, "c", F.col("pages")).first()
     if not total or not total["pages"]:
-        none = F.lit(None)
-        return back(p.withColumns({"host": F.col("_host"), "declared": F.col("_declared"), "language": none.cast("string"), "confidence": none.cast("double"), "posterior": F.col("said")}), *_RESULT)
+        kinds = dict.fromkeys(_RESULT[:3], "string") | {"confidence": "double", "posterior": "array<double>"}
+        return back(own.withColumns({c: F.lit(None).cast(k) for c, k in kinds.items()}), *_RESULT)
     overall = [(c + 1 / n) / (total["pages"] + 1) for c in total["c"]]
     totals = F.array(*map(F.lit, total["c"]))
 
@@ -188,9 +197,11 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
 
     # P(tag | language); the same for suffixes. There is a row per language that a page declares, and one for none.
     tags = log_share(save(_summed(p, "said", F.lit(1), "_declared"), "tags"), "log_tag").select("_declared", F.col("pages").alias("tag_pages"), "log_tag")
-    suffixes = log_share(_summed(by_host, "c", F.col("pages"), "_suffix"), "log_suffix").select("_suffix", "log_suffix")
-    domains = _summed(by_host, "c", F.col("pages"), "_domain").select("_domain", F.col("pages").alias("domain_pages"), F.col("c").alias("domain_c"))
-    prior = by_host.join(domains, "_domain").join(suffixes, "_suffix")
+    suffixes = log_share(save(_by_hosts(by_host, "_suffix"), "suffixes"), "log_suffix").select("_suffix", "hosts", "log_suffix")
+    domains = save(_by_hosts(by_host, "_domain").select("_domain", "hosts", F.col("pages").alias("domain_pages"), F.col("c").alias("domain_c")), "domains")
+    n_hosts = by_host.count()
+    prior = save(join_per_key(by_host, domains, "_domain", "hosts", n_hosts).drop("hosts"), "priors")
+    prior = join_per_key(prior, save(suffixes, "suffixes"), "_suffix", "hosts", n_hosts)
     prior = save(prior.select("_host", "pages", "domain_pages", "log_suffix", F.col("c").alias("host_c"), "domain_c"), "priors")
     j = join_per_key(p, prior, "_host", "pages", total["pages"])
     j = j.join(F.broadcast(tags), "_declared") if (n + 1) * n <= MOST_BROADCAST else join_per_key(j, save(tags, "tags"), "_declared", "tag_pages", total["pages"])
@@ -206,7 +217,8 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
     j = j.withColumn("posterior", _posterior(logs))
     top = F.array_max("posterior")
     language = F.get(F.array(*map(F.lit, languages)), F.array_position("posterior", top).cast("int") - 1)
-    return back(j.withColumns({"host": F.col("_host"), "declared": F.col("_declared"), "language": language, "confidence": top}), *_RESULT)
+    said = j.select("_row", F.col("_host").alias("host"), F.col("_declared").alias("declared"), language.alias("language"), top.alias("confidence"), "posterior")
+    return back(own.join(said, "_row"), *_RESULT)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
