@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.plans.components import components
-from corpusloom.plans.keys import hidden, join_per_key, row_key
+from corpusloom.plans.keys import hidden, join_per_key, row_key, without
 from corpusloom.plans.shared import save, ship
 
 SHINGLE, SEED, TAU, BITS = 3, 42, 3, 64
@@ -161,24 +161,26 @@ def _probes(distinct: DataFrame, chosen: list[tuple[list[int], int]]) -> DataFra
 
 
 def _split(probes: DataFrame, chosen: list[tuple[list[int], int]], tau: int, large: int) -> DataFrame:
-    """(key, fp) with the buckets of over ``large`` rows dealt anew by four shares of their other bits.
+    """(key, fp) with the buckets of over ``large`` rows dealt anew by tau + 1 shares of their other bits, again and again.
 
-    Linked fingerprints differ in at most ``tau`` bits, so they agree in one of tau + 1 shares whole.
+    Linked fingerprints differ in at most ``tau`` bits, so they agree in one of the shares whole. It ends when no bucket is
+    large, or only such as have too few bits left to hold many fingerprints.
     """
-    sizes = probes.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > large)
-    hot = save(sizes, "large")
-    if hot.isEmpty():
-        return probes.select("key", "fp")
-    total = probes.count()
-    deal = []
-    for bits, _ in chosen:
-        other = [b for b in range(BITS) if b not in bits]
-        deal.append([_mask(other[j :: tau + 1]) for j in range(tau + 1)])
-    masks = F.array(*(F.array(*map(F.lit, d)) for d in deal))
-    found = join_per_key(probes, hot, "key", "n", total)
-    finer = found.select("fp", "key", F.posexplode(F.element_at(masks, F.col("part") + 1)).alias("j", "mask"))
-    finer = finer.select(F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "fp")
-    return probes.join(hot.hint("merge"), "key", "left_anti").select("key", "fp").unionByName(finer)
+    done, agreed = None, [bits for bits, _ in chosen]
+    while True:
+        hot = save(probes.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > large), "large")
+        other = [[b for b in range(BITS) if b not in bits] for bits in agreed]
+        if hot.isEmpty() or min(map(len, other)) <= 2 * (tau + 1):
+            rest = probes.select("key", "fp")
+            return done.unionByName(rest) if done is not None else rest
+        masks = F.array(*(F.array(*(F.lit(_mask(o[j :: tau + 1])) for j in range(tau + 1))) for o in other))
+        rest = probes.join(hot.hint("merge"), "key", "left_anti").select("key", "fp")
+        done = done.unionByName(rest) if done is not None else rest
+        found = join_per_key(probes, hot, "key", "n", probes.count())
+        finer = found.select("fp", "key", "part", F.posexplode(F.element_at(masks, F.col("part") + 1)).alias("j", "mask"))
+        finer = finer.select("fp", (F.col("part") * (tau + 1) + F.col("j")).alias("part"), F.xxhash64("key", "j", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"))
+        probes = save(finer, "finer")
+        agreed = [bits + o[j :: tau + 1] for bits, o in zip(agreed, other) for j in range(tau + 1)]
 
 
 SMALL = 64
@@ -272,7 +274,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     keyed = row_key(own, named[id_col], "_row")
     found = cluster(fingerprints(keyed, "_row", named[text_col]))
     gone = save(found.filter("id <> component_id").select(F.col("id").alias("_row")), "gone")
-    return back(keyed.join(gone, "_row", "left_anti"))
+    return back(without(keyed, gone, "_row"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
