@@ -1,4 +1,4 @@
-"""Hashes of any stretch of a byte buffer, in numpy: a polynomial over random byte codes modulo 2**64.
+"""Hashes of any stretch of a byte buffer or of other letters, in numpy: a polynomial over random codes modulo 2**64.
 
 Equal bytes have equal hashes wherever they stand. Unequal bytes may too, so what is found by hash is verified.
 """
@@ -25,10 +25,11 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sums(buf: np.ndarray) -> np.ndarray:
-    """Prefix sums, one more than bytes."""
+    """Prefix sums, one more than bytes; ``buf`` may also be an array of other letters."""
+    codes = _CODES[buf] if buf.dtype == np.uint8 else mix(buf.astype(np.uint64) * np.uint64(_BASE) + _CODES[0]) | np.uint64(1)
     s = np.empty(len(buf) + 1, np.uint64)
     s[0] = 0
-    np.cumsum(_CODES[buf] * _power(len(buf))[0], out=s[1:])
+    np.cumsum(codes * _power(len(buf))[0], out=s[1:])
     return s
 
 

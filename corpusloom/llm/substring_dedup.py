@@ -127,7 +127,7 @@ def shared_strings(pieces: list[bytes], owner: np.ndarray, offset: np.ndarray, l
     first = np.cumsum(sizes + 1) - sizes - 1
     piece = np.repeat(np.arange(len(pieces)), sizes + 1)
     room = first[piece] + sizes[piece] - np.arange(len(t))
-    sa = suffix_array(t, length)
+    sa = suffix_array(t)
     sa = sa[room[sa] >= length]
     plcp, before = common_prefixes(t, sa, length, room)
     again = plcp[sa] >= length

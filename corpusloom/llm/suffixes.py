@@ -1,10 +1,9 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
-Both scans of induced sorting go bucket by bucket (a byte each): all suffixes that stand in a bucket are
-taken at once, and those that they induce in the same bucket are the next wave. The reduced string has a
-letter per distinct leftmost-smaller substring, so its own buckets are too many for that; its suffixes are ranked by
-repeated doubling, which ends once the ranks differ or reach as far as ``depth`` bytes. Suffixes that agree
-over ``depth`` bytes may stand in any order.
+Leftmost-smaller substrings are sorted by a first induction and named by rank; where names repeat, the string of names is sorted
+the same way, and so on. Both scans of an induction take as many buckets at once as put nothing into each other; a bucket whose
+suffixes induce others in it goes wave by wave. A string of names of which few repeat has about as many buckets as letters, so
+most of the time would go into its many small steps: those few are told apart by doubling instead.
 """
 
 from __future__ import annotations
@@ -13,6 +12,9 @@ import numpy as np
 
 from corpusloom.llm import rolling
 
+#: Names over so large a share of leftmost-smaller substrings repeat too rarely for another level.
+FEW_REPEAT = 0.75
+
 
 def suffix_types(t: np.ndarray) -> np.ndarray:
     """True for each suffix that is smaller than the next one; the last, before the end, is not."""
@@ -40,50 +42,89 @@ def _place(sa: np.ndarray, t: np.ndarray, ptr: np.ndarray, pos: np.ndarray, step
     ptr[c[first]] += step * sizes
 
 
-def induce(t: np.ndarray, less: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches, one stretch after the other."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _two(first: np.ndarray, sizes: np.ndarray, second: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Of each bucket what is in ``first`` and then what is in ``second``, which have ``sizes`` and ``more`` of each."""
+    if len(sizes) == 1 or not len(first) or not len(second):
+        return np.concatenate([first, second])
+    k = np.arange(len(sizes))
+    by = np.argsort(np.concatenate([np.repeat(2 * k, sizes), np.repeat(2 * k + 1, more)]), kind="stable")
+    return np.concatenate([first, second])[by]
+
+
+def _waves(sa: np.ndarray, t: np.ndarray, ptr: np.ndarray, c: int, done: int, step: int, kind: np.ndarray) -> None:
+    """All that suffixes in bucket ``c`` from ``done`` on induce, those too that they put into ``c`` itself."""
+    while done != ptr[c]:
+        wave = sa[done : ptr[c] : step] if ptr[c] >= 0 else sa[done::step]
+        done = ptr[c]
+        before = wave[wave > 0] - 1
+        before = before[kind[before]]
+        if len(before):
+            _place(sa, t, ptr, before, step)
+
+
+def induce(t: np.ndarray, less: np.ndarray, seeds: np.ndarray, letters: int) -> np.ndarray:
     """Order of all suffixes, given leftmost-smaller ones in theirs."""
     n = len(t)
-    sizes = np.bincount(t, minlength=256)
+    sizes = np.bincount(t, minlength=letters)
     ends = np.cumsum(sizes)
     heads = ends - sizes
-    seed_c = t[seeds]
-    seeds_of = np.searchsorted(seed_c, np.arange(257))  # seeds in order are in order of their bytes
+    seeds_of = np.searchsorted(t[seeds], np.arange(letters + 1))  # seeds in order are in order of their letters
+    n_seeds = np.diff(seeds_of)
     sa = np.full(n, -1, np.int64)
-    ptr = heads.copy()
-    used = np.flatnonzero(sizes)
+    larger, ptr = ~less, heads.copy()
     # The suffix that ends the text is larger than none of its own start: it leads its bucket.
     if not less[n - 1]:
         _place(sa, t, ptr, np.array([n - 1]), 1)
-    for c in used:
-        done = heads[c]
-        while True:
-            wave = sa[done : ptr[c]]
-            done = ptr[c]
-            if not len(wave):
-                break
-            before = wave[wave > 0] - 1
-            before = before[~less[before]]
+    c, width = 0, 1
+    while c < letters:
+        e = min(c + width, letters)
+        filled = ptr[c:e] - heads[c:e]
+        at = _two(sa[_ranges(heads[c:e], filled)], filled, seeds[seeds_of[c] : seeds_of[e]], n_seeds[c:e])
+        before = at[at > 0] - 1
+        before = before[larger[before]]
+        least = int(t[before].min()) if len(before) else e
+        if c < least < e:  # buckets from there on wait for what these put into them
+            at = at[: np.searchsorted(t[at], least)]
+            before = at[at > 0] - 1
+            before = before[larger[before]]
+        if least > c:
             if len(before):
                 _place(sa, t, ptr, before, 1)
+            c, width = min(e, least), 2 * (min(e, least) - c)
+            continue
+        _waves(sa, t, ptr, c, heads[c], 1, larger)
         before = seeds[seeds_of[c] : seeds_of[c + 1]]
         before = before[before > 0] - 1
-        before = before[~less[before]]
+        before = before[larger[before]]
         if len(before):
             _place(sa, t, ptr, before, 1)
-    larger = ptr  # where each bucket's larger suffixes end
-    ptr = ends - 1
-    for c in used[::-1]:
-        done = ends[c] - 1
-        while True:
-            wave = sa[ptr[c] + 1 : done + 1][::-1]
-            done = ptr[c]
-            if not len(wave):
-                break
-            before = wave[wave > 0] - 1
+        c, width = c + 1, 1
+    n_larger, ptr = ptr - heads, ends - 1
+    c, width = letters, 1  # buckets below c are still to do
+    while c > 0:
+        e = max(c - width, 0)
+        filled, rest = (ends[e:c] - 1 - ptr[e:c])[::-1], n_larger[e:c][::-1]
+        at = _two(sa[_ranges(ptr[e:c] + 1, filled[::-1])][::-1], filled, sa[_ranges(heads[e:c], rest[::-1])][::-1], rest)
+        before = at[at > 0] - 1
+        before = before[less[before]]
+        most = int(t[before].max()) if len(before) else e - 1
+        if e <= most < c - 1:
+            at = at[: np.searchsorted(-t[at], -most)]
+            before = at[at > 0] - 1
             before = before[less[before]]
+        if most < c - 1:
             if len(before):
                 _place(sa, t, ptr, before, -1)
-        before = sa[heads[c] : larger[c]][::-1]
+            c, width = max(e, most + 1), 2 * (c - max(e, most + 1))
+            continue
+        c, width = c - 1, 1
+        _waves(sa, t, ptr, c, ends[c] - 1, -1, less)
+        before = sa[heads[c] : heads[c] + n_larger[c]][::-1]
         before = before[before > 0] - 1
         before = before[less[before]]
         if len(before):
@@ -91,41 +132,46 @@ def induce(t: np.ndarray, less: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return sa
 
 
-def suffix_array(t: np.ndarray, depth: int | None = None) -> np.ndarray:
-    """Starts of the suffixes of a byte array in their order, as far as ``depth`` bytes tell."""
+def _doubled(rank: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of a string of names by repeated doubling."""
+    reach, names = 1, int(rank.max()) + 1
+    while names < len(rank):
+        ahead = np.zeros(len(rank), np.int64)
+        ahead[:-reach] = rank[reach:] + 1
+        _, rank = np.unique(rank * (names + 1) + ahead, return_inverse=True)
+        names, reach = int(rank.max()) + 1, reach * 2
+    return np.argsort(rank, kind="stable")
+
+
+def suffix_array(t: np.ndarray) -> np.ndarray:
+    """Starts of the suffixes of an array of bytes, or of other letters from 0 on, in their order."""
     n = len(t)
     if n < 2:
         return np.arange(n)
+    s = rolling.sums(t)
     t = t.astype(np.int64)
-    less = suffix_types(t)
+    letters, less = int(t.max()) + 1, suffix_types(t)
     lms = np.flatnonzero(less[1:] & ~less[:-1]) + 1
     if not len(lms):
-        return induce(t, less, lms)
-    # Order of leftmost-smaller substrings: induced from their first bytes.
-    order = induce(t, less, lms[np.argsort(t[lms], kind="stable")])
+        return induce(t, less, lms, letters)
+    # Order of leftmost-smaller substrings: induced from their first letters.
+    order = induce(t, less, lms[np.argsort(t[lms], kind="stable")], letters)
     is_lms = np.zeros(n, bool)
     is_lms[lms] = True
     order = order[is_lms[order]]
-    # Each reaches as far as the next one's first byte, the last as far as the end.
+    # Each reaches as far as the next one's first letter, the last as far as the end.
     stop = np.zeros(n, np.int64)
     stop[lms] = np.r_[lms[1:] + 1, n]
-    s = rolling.sums(t.astype(np.uint8))
     h = rolling.stretch(s, order, stop[order])
     size = stop[order] - order
     final = order == lms[-1]
     new = np.r_[True, (h[1:] != h[:-1]) | (size[1:] != size[:-1]) | final[1:] | final[:-1]]
-    rank = np.zeros(n, np.int64)
-    rank[order] = np.cumsum(new)
-    rank = rank[lms]
-    reach, names = 1, int(rank.max())
-    while names < len(lms) and (depth is None or 2 * reach < depth + 2):
-        ahead = np.zeros(len(lms), np.int64)
-        ahead[:-reach or None] = rank[reach:]
-        key = rank * (names + 1) + ahead
-        _, rank = np.unique(key, return_inverse=True)
-        rank += 1
-        names, reach = int(rank.max()), reach * 2
-    return induce(t, less, lms[np.argsort(rank, kind="stable")])
+    names = int(new.sum())
+    if names < len(lms):
+        rank = np.zeros(n, np.int64)
+        rank[order] = np.cumsum(new) - 1
+        order = lms[suffix_array(rank[lms]) if names < FEW_REPEAT * len(lms) else _doubled(rank[lms])]
+    return induce(t, less, order, letters)
 
 
 def common_prefixes(t: np.ndarray, sa: np.ndarray, most: int, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
