@@ -2,12 +2,14 @@
 
 A text is cut into pre-tokens, each of which the tokenizer encodes by itself, so a text's count is the
 sum of its pre-tokens' lengths. Frequent pre-tokens' lengths are broadcast; others are encoded once per
-worker and kept in its bounded cache. Nothing is shuffled. Texts with characters on which two versions
+worker and kept in its bounded cache. Nothing is shuffled: each task sends the driver its commonest pre-tokens, a bounded
+number for all tasks together. Texts with characters on which two versions
 of Unicode may disagree, or with a special token's string, go to the tokenizer itself.
 
 Cases: null text counts as empty (0 tokens); very long texts are cut at single spaces between
 non-space characters, where a pre-token always begins, and counted piece by piece; rows with null or
-repeated ids are counted like any other; an empty table gives no rows; further columns pass through.
+repeated ids are counted like any other; an empty table gives no rows; further columns pass through, but for those named
+n_tokens or over_limit, which are replaced.
 """
 
 from __future__ import annotations
@@ -29,8 +31,9 @@ PRETOKEN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Characters that the pattern above and the tokenizer class alike, checked one by one.
 AGREED = r"\x00-\u0557\u1E00-\u1FFF\u2000-\u2070\u2190-\u23FF\u2500-\u27BF\u3041-\u3096\u30A0-\u30FF\u4E00-\u9FEF\uAC00-\uD7A3\uFF00-\uFF60\U0001F300-\U0001F64F"
 SAFE_CUT = r"(?<=[^\s\x1c-\x1f\x85\u180E]) (?=[^\s\x1c-\x1f\x85\u180E])"
-#: Entries of the broadcast table; partitions and rows of each it is counted from (it only saves time, no count depends on it).
-FREQUENT, FREQUENT_PARTS, FREQUENT_ROWS = 65_536, 8, 500
+#: Entries of the broadcast table, and of what all tasks send for it. One text in FREQUENT_SHARE, by its hash, of every partition is
+#: counted for it; it only saves time, no count depends on it.
+FREQUENT, SENT, FREQUENT_SHARE = 32_768, 1 << 18, 64
 #: Entries of a worker's cache; beyond it starts anew from the frequent ones. Longer pre-tokens aren't kept.
 CACHED, LONGEST_CACHED, PIECE = 300_000, 48, 1 << 20
 
@@ -91,33 +94,37 @@ def _worker(path: str, frequent) -> Lengths:
     return _lengths[key]
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", rows: int = FREQUENT_ROWS, parts: int = FREQUENT_PARTS, size: int = FREQUENT) -> dict[str, int]:
-    """The first tier: lengths of the commonest pre-tokens, at most ``size``, of ``rows`` rows of each of the first ``parts`` partitions.
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", size: int = FREQUENT, share: int = FREQUENT_SHARE, sent: int = SENT) -> dict[str, int]:
+    """The first tier: lengths of the commonest pre-tokens, at most ``size``, of one text in ``share`` of all partitions.
 
-    Tasks of other partitions end before they read.
+    A task counts in bounded room and sends its commonest, ``sent`` in all; with so many tasks that those would be under 16
+    each, every so many-th task sends.
     """
+    chosen = docs.select(F.col(text_col).alias("text")).filter(F.col("text").isNotNull() & (F.pmod(F.xxhash64("text"), F.lit(share)) == 0))
+    parts = max(1, chosen.rdd.getNumPartitions())
+    each, stride = min(size, max(16, sent // parts)), -(-16 * parts // sent)
     split = regex.compile(PRETOKEN)
 
     def common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if TaskContext.get().partitionId() >= parts:
+        if TaskContext.get().partitionId() % stride:
             return
         seen: Counter = Counter()
-        left = rows
-        for b in batches:
-            for t in b.column(0).slice(0, left).to_pylist():
-                seen.update(w for w in split.findall(t or "", 0, PIECE) if len(w) <= LONGEST_CACHED)
-                if len(seen) > 8 * size:
-                    seen = Counter(dict(seen.most_common(4 * size)))
-            left -= b.num_rows
-            if left <= 0:
-                break
-        top = seen.most_common(size)
         lengths = Lengths(path)
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                for at, end in lengths.pieces(t):
+                    seen.update(w for w in split.findall(t, at, end) if len(w) <= LONGEST_CACHED)
+                    if len(seen) > 8 * size:
+                        seen = Counter(dict(seen.most_common(4 * size)))
+        top = seen.most_common(each)
         cells = {"w": pa.array([w for w, _ in top], pa.string()), "c": pa.array([c for _, c in top], pa.int64()), "n": pa.array([lengths[w] for w, _ in top], pa.int32())}
         yield pa.RecordBatch.from_pydict(cells)
 
-    found = docs.select(text_col).mapInArrow(common, "w string, c bigint, n int").groupBy("w").agg(F.sum("c").alias("c"), F.min("n").alias("n"))
-    return {r["w"]: r["n"] for r in found.orderBy(F.desc("c"), "w").limit(size).collect()}
+    times, known = Counter(), {}
+    for r in chosen.mapInArrow(common, "w string, c bigint, n int").collect():
+        times[r["w"]] += r["c"]
+        known[r["w"]] = r["n"]
+    return {w: known[w] for w, _ in sorted(times.items(), key=lambda x: (-x[1], x[0]))[:size]}
 
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", limit: int = 1024) -> DataFrame:
