@@ -1,7 +1,8 @@
 """Chat formatting: fold an event log into final messages, render them, and read them back.
 
-Only DataFrame functions are used. A conversation is one row of the result, so its rendered text must
-fit in a row; what precedes that (folding a message's events) is dealt out by (conversation, message).
+Only DataFrame functions are used. A log is shuffled once, by conversation, and sorted there. A conversation is one row
+of the result, so its rendered text must fit in a row, and one task folds and renders it; a conversation that holds a large
+share of all messages can't be dealt out further, as its text is one string.
 
 Cases: null text, role or kind count as empty text, empty role and a whole message; a null conversation
 id is a conversation of its own; a null seq comes first; an event delivered twice with the same
@@ -113,16 +114,33 @@ def read_back(rendered: DataFrame) -> DataFrame:
     return r.withColumn("n_turns", F.size("turns").cast("bigint"))
 
 
-def format_conversations(conversations: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as a log of whole messages, folded, rendered and read back.
+def in_pieces(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) -> a log of events that folds into these messages.
+
+    Each text comes in two parts, as it is streamed: a message's first, then a delta. Before that stands another, with the parts
+    the other way round, which a user's edit or an assistant's regeneration takes back.
+    """
+    text = F.coalesce("text", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    one, two = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
+    again = F.when(F.col("role") == "assistant", F.lit("regenerate")).otherwise(F.lit("edit"))
+    events = [(F.lit("message"), two), (F.lit("delta"), one), (again, one), (F.lit("delta"), two)]
+    log = F.array(*(F.struct(F.lit(i).alias("seq"), kind.alias("kind"), t.alias("text")) for i, (kind, t) in enumerate(events)))
+    return messages.select("conv_id", "turn", "role", F.explode(log).alias("e")).select("conv_id", "turn", "role", "e.*")
+
+
+def whole(messages: DataFrame) -> DataFrame:
+    """The same with an event for each message."""
+    return messages.select("conv_id", "turn", F.lit(0).alias("seq"), F.lit("message").alias("kind"), "role", "text")
+
+
+def format_conversations(conversations: DataFrame, log=whole) -> DataFrame:
+    """Rows (conv_id, turn, role, text) as a ``log`` of events, folded, rendered and read back.
 
     Each row is a message, also where a turn number is null or repeated: rows go by turn, role, text.
     """
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
-    log = conversations.select(
-        "conv_id", F.row_number().over(w).alias("turn"), F.lit(0).alias("seq"), F.lit("message").alias("kind"), "role", "text"
-    )
-    return read_back(render(fold_events(log)))
+    return read_back(render(fold_events(log(conversations.select("conv_id", F.row_number().over(w).alias("turn"), "role", "text")))))
 
 
 def op1_chat_format(spark, sf_dir: str) -> DataFrame:
@@ -131,7 +149,7 @@ def op1_chat_format(spark, sf_dir: str) -> DataFrame:
     probe = spark.sql(
         f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)"
     )
-    out = format_conversations(given.unionByName(probe))
+    out = format_conversations(given.unionByName(probe), in_pieces)
     loss = F.array_join("loss_texts", "")
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return out.select(

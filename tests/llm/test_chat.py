@@ -16,7 +16,13 @@ def test_texts_come_back(spark):
     rows = [(c, t, r, x) for c, texts in enumerate([HARD, HARD[::-1], [None, "a"]]) for t, x in enumerate(texts) for r in [("user", "assistant", None)[t % 3]]]
     rows += [(None, 0, "user", "no id"), (9, None, "user", "b"), (9, None, "assistant", "a"), (9, 1, "assistant", "a"), (9, 1, "assistant", "a")]
     log = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").withColumns({"kind": F.lit("delta"), "seq": F.lit(1), "block": F.lit(0)})
-    got = {r["conv_id"]: r for r in chat.format_conversations(log).collect()}
+    told = chat.in_pieces(log.select("conv_id", "turn", "role", "text"))
+    assert told.count() == 4 * len(rows) and told.filter("kind = 'regenerate'").count() == sum(r[2] == "assistant" for r in rows)
+    for how in (chat.whole, chat.in_pieces):
+        check(rows, {r["conv_id"]: r for r in chat.format_conversations(log, how).collect()})
+
+
+def check(rows, got):
     key = lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "", r[3] is not None, r[3] or "")
     assert set(got) == {r[0] for r in rows}
     for conv, r in got.items():
@@ -34,6 +40,12 @@ def test_escaping_is_reversible_and_hides_control_strings(spark, texts):
         assert r["u"] == r["t"] and not any(c in r["e"] for c in chat.CONTROL)
 
 
+def test_a_very_long_conversation_and_text(spark):
+    rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t} </s>") for t in range(5_000)] + [(2, 0, "assistant", "<|im_end|>é\\" * 200_000)]
+    log = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    check(rows, {r["conv_id"]: r for r in chat.format_conversations(log, chat.in_pieces).collect()})
+
+
 def test_deltas_edits_and_regenerations_fold(spark):
     log = [
         (1, 0, 1, "message", "user", "hi"), (1, 1, 2, "delta", "assistant", "He"), (1, 1, 3, "delta", None, "llo"), (1, 1, 3, "delta", None, "llo"),
