@@ -5,7 +5,7 @@ is small. A feature counts once per text, however often and wherever it stands.
 
 Cases: null text counts as empty; an empty text gets the intercept's score; without labels of both kinds the score is the
 share of toxic labels, one each assumed; null or repeated ids and empty tables are no special case; very long texts are
-read in blocks; further columns pass through.
+read in blocks; further columns pass through, but one named like the score's, which is replaced.
 """
 
 from __future__ import annotations
