@@ -7,11 +7,16 @@ from pyspark.sql import Column, functions as F
 from corpusloom.functions import text as T
 
 _SPECIAL = ["<PAD>", "<BOS>", "<EOS>"]
-LETTERS = [*_SPECIAL, *sorted(" $&'*<>ADEHSTYZbdfghjklmnpqrstvwxyz|}"), "<MASK>"]
-NONE = "<NT>"
-#: Tag of a shadda with a vowel -> the two marks.
+# Letters and tags by their ids; the marks of a tag that stands for a shadda and a vowel.
+LETTERS = [
+    "<PAD>", "<BOS>", "<EOS>",
+    " ", "$", "&", "'", "*", "<", ">", "A", "D", "E", "H", "S", "T", "Y", "Z",
+    "b", "d", "f", "g", "h", "j", "k", "l", "m", "n", "p", "q", "r", "s", "t",
+    "v", "w", "x", "y", "z", "|", "}", "<MASK>",
+]
+TAGS = ["<PAD>", "<BOS>", "<EOS>", "<NT>", "<SD>", "<SDD>", "<SF>", "<SFF>", "<SK>", "<SKK>", "F", "K", "N", "a", "i", "o", "u", "~"]
 DOUBLE = {"<SD>": "~u", "<SDD>": "~N", "<SF>": "~a", "<SFF>": "~F", "<SK>": "~i", "<SKK>": "~K"}
-TAGS = [*_SPECIAL, NONE, *sorted(DOUBLE), *"FKNaiou~"]
+NONE = "<NT>"
 _VOWELS = "auiFNK"
 
 

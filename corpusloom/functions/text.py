@@ -15,7 +15,12 @@ _EDGE = f"(?:(?<=[{WORD}])(?![{WORD}])|(?<![{WORD}])(?=[{WORD}]))"
 EMAIL = _EDGE + r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}" + _EDGE
 PHONE = r"\+[0-9](?:[ ().-]{0,2}[0-9]){6,14}(?![0-9])"
 SENTENCE_END = rf"(?<=\.)\.\.|(?<=[.?!;؟؛])[{WS}]+"
-ELLIPSIS = "\uE000"
+#: Noncharacters, which no text should hold: they part a document's sentences, and stand for three dots.
+PART, ELLIPSIS = "\uFDD0", "\uFDD1"
+
+
+#: Blanks and tabs, but for a single blank.
+BLANKS = r"\t[ \t]*+| [ \t]++"
 
 
 def strip(c: Column) -> Column:
@@ -25,7 +30,7 @@ def strip(c: Column) -> Column:
 
 def squeeze(c: Column) -> Column:
     """One line break for many, one blank for many blanks and tabs, none at the ends."""
-    return strip(F.regexp_replace(strip(F.regexp_replace(c, r"\n+", "\n")), r"[ \t]+", " "))
+    return strip(F.regexp_replace(strip(F.regexp_replace(c, r"\n{2,}", "\n")), BLANKS, " "))
 
 
 def sentences(c: Column) -> Column:
@@ -44,29 +49,32 @@ def mask_phones(c: Column) -> Column:
 
 def cut_mark_runs(c: Column, profile: Profile = ARABIC) -> Column:
     """Of four or more marks in a row three stay; three dots are one thing and stay whole."""
-    mark = rf"[^{WORD}{WS}{profile.block}{ELLIPSIS}]"
+    mark = rf"[^{WORD}{WS}{profile.block}{PART}{ELLIPSIS}]"
     c = F.replace(c, F.lit("..."), F.lit(ELLIPSIS))
     return F.replace(F.regexp_replace(c, f"({mark}{{3}}){mark}+", "$1"), F.lit(ELLIPSIS), F.lit("..."))
 
 
-def foreign_span(profile: Profile = ARABIC, threshold: int = 30) -> str:
-    return f"[^{profile.block}0-9]{{{threshold},}}"
+def foreign_span(profile: Profile = ARABIC, threshold: int = 30, ends: str = "") -> str:
+    """Pattern of a long stretch without the script's characters or digits (blanks count too), which also ``ends`` at those characters."""
+    return f"[^{profile.block}0-9{ends}]{{{threshold},}}"
 
 
-def blank_foreign_spans(c: Column, profile: Profile = ARABIC, threshold: int = 30) -> Column:
-    """Each long stretch without the script's characters or digits (blanks count too) becomes a blank."""
-    return F.regexp_replace(c, foreign_span(profile, threshold), " ")
+def blank_foreign_spans(c: Column, profile: Profile = ARABIC, threshold: int = 30, ends: str = "") -> Column:
+    return F.regexp_replace(c, foreign_span(profile, threshold, ends), " ")
 
 
 def is_script_sentence(c: Column, profile: Profile = ARABIC, threshold: float = 0.7) -> Column:
     """Enough of what isn't white space is of the script or neutral; an empty sentence is not."""
-    own = F.length(F.regexp_replace(c, f"[^{profile.inner}{profile.neutral}]", ""))
-    solid = F.length(F.regexp_replace(c, f"[{WS}]", ""))
+    own = F.length(F.regexp_replace(c, f"[^{profile.inner}{profile.neutral}]+", ""))
+    solid = F.length(F.regexp_replace(c, f"[{WS}]+", ""))
     return (c != "") & (own / F.greatest(solid, F.lit(1)) >= threshold)
 
 
-def is_long_sentence(c: Column, least: int = 8) -> Column:
-    return F.regexp_count(c, F.lit(f"[^{WS}]+")) >= least
+def is_long_sentence(c: Column, least: int | Column = 8) -> Column:
+    """At least so many words; only those are looked at."""
+    if isinstance(least, Column):
+        return F.regexp_count(c, F.lit(f"[^{WS}]+")) >= least
+    return c.rlike(f"(?:[^{WS}]++[{WS}]++){{{least - 1}}}[^{WS}]") if least > 0 else c.isNotNull()
 
 
 # --- gibberish ----------------------------------------------------------------------------------
@@ -88,10 +96,35 @@ def last_run_ratio(c: Column) -> Column:
     return F.when(c == "", F.lit(0.0)).otherwise(F.get(longest, F.lit(0)) / F.length(c))
 
 
+def has_long_last_run(c: Column, share: float) -> Column:
+    """Whether ``last_run_ratio`` is over ``share``, from few of the characters.
+
+    A run of over ``share`` of the text covers one of the places that lie so far apart, so only characters there come into question.
+    """
+    n = F.length(c)
+    step = F.greatest(F.floor(n * share), F.lit(1)).cast("int")
+
+    def run(back: Column):
+        def of(at: Column) -> Column:
+            ch = F.substr(back, at, F.lit(1))
+            tail = F.substr(back, F.position(ch, back))
+            return F.length(tail) - F.length(F.ltrim(tail, ch)) > n * share
+
+        return of
+
+    found = F.transform(F.array(F.reverse(c)), lambda back: F.exists(F.sequence(F.lit(1), n, step), run(back)))
+    return F.when(c == "", F.lit(False)).otherwise(F.get(found, F.lit(0)))
+
+
 def word_like_count(c: Column, profile: Profile = ARABIC) -> Column:
     return F.regexp_count(c, F.lit(f"[{profile.block}]{{2,}}"))
 
 
+def has_word_like(c: Column, least: int, profile: Profile = ARABIC) -> Column:
+    """Whether ``word_like_count`` is at least ``least``; what follows those is not looked at."""
+    return c.rlike(rf"(?s)\A(?>.*?[{profile.block}]{{2,}}+){{{least}}}")
+
+
 def common_word_count(c: Column, profile: Profile = ARABIC) -> Column:
     """Different frequent words among the script's runs."""
     runs = F.regexp_extract_all(c, F.lit(f"[{profile.block}]+"), F.lit(0))
@@ -99,7 +132,7 @@ def common_word_count(c: Column, profile: Profile = ARABIC) -> Column:
 
 
 def script_share(c: Column, profile: Profile = ARABIC) -> Column:
-    return F.coalesce(F.try_divide(F.length(F.regexp_replace(c, f"[^{profile.block}]", "")), F.length(c)), F.when(c.isNotNull(), F.lit(0.0)))
+    return F.coalesce(F.try_divide(F.length(F.regexp_replace(c, f"[^{profile.block}]+", "")), F.length(c)), F.when(c.isNotNull(), F.lit(0.0)))
 
 
 #: Letters of the main block that change into presentation forms when text is shaped for display.
@@ -108,16 +141,39 @@ SHAPED = r"\u0621-\u063A\u0641-\u064A\u0671-\u0673\u0675-\u06D3\u06D5"
 
 def shaped_script_share(c: Column, profile: Profile = ARABIC) -> Column:
     """The share left in the main block once letters have become presentation forms: marks and digits only."""
-    own = F.length(F.regexp_replace(c, f"[^{profile.block}]|[{SHAPED}]", ""))
+    own = F.length(F.regexp_replace(c, f"[^{profile.block}{SHAPED}]+|[{SHAPED}]+", ""))
     return F.coalesce(F.try_divide(own, F.length(c)), F.when(c.isNotNull(), F.lit(0.0)))
 
 
 def mark_share(c: Column) -> Column:
     """ASCII punctuation over the length; 0 for an empty text."""
-    marks = F.length(c) - F.length(F.regexp_replace(c, r"[!-/:-@\[-`{-~]", ""))
+    marks = F.length(c) - F.length(F.regexp_replace(c, r"[!-/:-@\[-`{-~]+", ""))
     return F.coalesce(F.try_divide(marks, F.length(c)), F.when(c.isNotNull(), F.lit(0.0)))
 
 
+_SCRIPTS = {
+    "ar": r"\u0600-\u06FF\u0750-\u077F\uFB50-\uFDFF\uFE70-\uFEFF", "cyrillic": r"\u0400-\u04FF", "greek": r"\u0370-\u03FF", "han": r"\u4E00-\u9FFF",
+    "hebrew": r"\u0590-\u05FF", "latin": r"A-Za-z\u00C0-\u024F",
+}
+PERSIAN = "پچژگکی"
+
+
+def main_script(c: Column, persian: float = 0.08) -> Column:
+    """The script of most letters, of equal ones the first by name; 'fa' for Arabic script with many Persian letters; null without letters."""
+
+    def named(top: Column) -> Column:
+        few = (top["name"] != "ar") | (F.regexp_count(c, F.lit(f"[{PERSIAN}]")) <= top["n"] * persian)
+        return F.when((top["n"] > 0) & few, top["name"]).when(top["n"] > 0, F.lit("fa"))
+
+    def most(letters: Column) -> Column:
+        n = lambda block: F.length(F.regexp_replace(letters, f"[^{block}]+", ""))
+        return F.greatest(*(F.struct(n(block).alias("n"), F.lit(-i).alias("rank"), F.lit(name).alias("name")) for i, (name, block) in enumerate(sorted(_SCRIPTS.items()))))
+
+    # Letters and the largest count are made once: within a lambda they are a value.
+    letters = F.array(F.regexp_replace(c, r"\P{L}+", ""))
+    return F.when(c.isNotNull(), F.get(F.transform(F.transform(letters, most), named), F.lit(0)))
+
+
 # --- Arabic orthography -------------------------------------------------------------------------
 
 TATWEEL, MARKS = "\u0640", r"\u064B-\u0652"
@@ -181,12 +237,17 @@ def removal_counts(c: Column) -> dict[str, Column]:
 
 # --- transliteration ----------------------------------------------------------------------------
 
-_PAIRS = (
-    "ء' آ| أ> ؤ& إ< ئ} اA بb ةp تt ثv جj حH خx دd ذ* رr زz سs ش$ صS ضD طT ظZ عE غg فf قq كk لl مm نn هh وw ىY يy "
-    "ًF ٌN ٍK َa ُu ِi ّ~ ْo ٰ` ٱ{ ـ_"
-).split()
-AR, BW = "".join(p[0] for p in _PAIRS), "".join(p[1:] for p in _PAIRS)
+# The Buckwalter letter or mark of each Arabic one, and the letters of ligatures.
+_BUCKWALTER = {
+    "\u0621": "'", "\u0622": "|", "\u0623": ">", "\u0624": "&", "\u0625": "<", "\u0626": "}", "\u0627": "A", "\u0628": "b",
+    "\u0629": "p", "\u062A": "t", "\u062B": "v", "\u062C": "j", "\u062D": "H", "\u062E": "x", "\u062F": "d", "\u0630": "*",
+    "\u0631": "r", "\u0632": "z", "\u0633": "s", "\u0634": "$", "\u0635": "S", "\u0636": "D", "\u0637": "T", "\u0638": "Z",
+    "\u0639": "E", "\u063A": "g", "\u0640": "_", "\u0641": "f", "\u0642": "q", "\u0643": "k", "\u0644": "l", "\u0645": "m",
+    "\u0646": "n", "\u0647": "h", "\u0648": "w", "\u0649": "Y", "\u064A": "y", "\u064B": "F", "\u064C": "N", "\u064D": "K",
+    "\u064E": "a", "\u064F": "u", "\u0650": "i", "\u0651": "~", "\u0652": "o", "\u0670": "`", "\u0671": "{",
+}
 _LIGATURES = {"ﻵ": "l|", "ﻷ": "l>", "ﻹ": "l<", "ﻻ": "lA"}
+AR, BW = "".join(_BUCKWALTER), "".join(_BUCKWALTER.values())
 
 
 def from_buckwalter(c: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -61,8 +60,7 @@ def html_text(spark: SparkSession):
     return texts
 
 
-def nfkc(spark: SparkSession):
-    """Column function; rows of ASCII only never leave the JVM's value as they can't change."""
+def nfkc_udf(spark: SparkSession):
     ship(spark)
 
     @F.pandas_udf("string")
@@ -70,6 +68,13 @@ def nfkc(spark: SparkSession):
         for b in batches:
             yield b.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x))
 
+    return composed
+
+
+def nfkc(spark: SparkSession):
+    """Column function; rows of ASCII only never leave the JVM's value as they can't change."""
+    composed = nfkc_udf(spark)
+
     def apply(c: Column) -> Column:
         ascii_only = c.rlike(r"\A[\x00-\x7F]*\z")
         return F.when(ascii_only, c).otherwise(composed(F.when(~ascii_only, c)))
@@ -77,29 +82,8 @@ def nfkc(spark: SparkSession):
     return apply
 
 
-_RANGES = (("ar", 0x0600, 0x06FF), ("ar", 0x0750, 0x077F), ("ar", 0xFB50, 0xFDFF), ("ar", 0xFE70, 0xFEFF), ("cyrillic", 0x0400, 0x04FF), ("greek", 0x0370, 0x03FF), ("hebrew", 0x0590, 0x05FF), ("han", 0x4E00, 0x9FFF), ("latin", 0x41, 0x5A), ("latin", 0x61, 0x7A), ("latin", 0xC0, 0x24F))
-_PERSIAN = re.compile("[پچژگکی]")
-
-
-def detect(text: str | None) -> str | None:
-    """The script of most letters; among Arabic script, text with many Persian letters isn't 'ar'. None without letters."""
-    if not text:
-        return None
-    counts: dict[str, int] = {}
-    for ch in text:
-        o = ord(ch)
-        for name, lo, hi in _RANGES:
-            if lo <= o <= hi and unicodedata.category(ch)[0] == "L":
-                counts[name] = counts.get(name, 0) + 1
-                break
-    if not counts:
-        return None
-    top = max(sorted(counts), key=counts.get)
-    return "fa" if top == "ar" and len(_PERSIAN.findall(text)) > 0.08 * counts["ar"] else top
-
-
-def detector(spark: SparkSession, function=detect):
-    """Column function text -> language, by a Python function that may be replaced."""
+def detector(spark: SparkSession, function):
+    """Column function text -> language, by a Python function; ``text.main_script`` needs none."""
     ship(spark)
 
     @F.pandas_udf("string")

@@ -7,7 +7,9 @@ A row that fails has its error in ``diac_error`` and null text; no other row is
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,9 +28,7 @@ _PUNCTUATION = re.compile(r"(\s*[،.؟!؛:?,;\n]\s*)")
 
 
 def spell(n: int) -> str:
-    """A number in Arabic words, unmarked; from 10^15 on digit by digit."""
-    if n >= 10**15:
-        return " ".join(_ONES[int(d)] for d in str(n))
+    """A number below 10^15 in Arabic words, unmarked."""
     if n < 20:
         return _ONES[n]
     groups, scale = [], 0
@@ -71,9 +71,18 @@ def _expand(raw: str, pattern: str, word: Callable[[re.Match, str], str], value:
     return "".join([*parts, raw[at:]]), spans
 
 
+def plain_digits(digits: str) -> str:
+    """Digits of any script as ASCII ones without leading zeros; a run of any length."""
+    return "".join(str(unicodedata.decimal(d)) for d in digits).lstrip("0") or "0"
+
+
+def spell_digits(digits: str) -> str:
+    return spell(int(digits)) if len(digits) <= 15 else " ".join(_ONES[int(d)] for d in digits)
+
+
 def expand_numbers(raw: str) -> tuple[str, list[Span]]:
     """Each run of digits as words; spans (start, end, number) in the new text."""
-    return _expand(raw, r"\d+", lambda m, _: spell(int(m.group())), lambda d: str(int(d)))
+    return _expand(raw, r"\d+", lambda m, _: spell_digits(plain_digits(m.group())), plain_digits)
 
 
 def expand_symbols(raw: str) -> tuple[str, list[Span]]:
@@ -174,6 +183,30 @@ def dictionary_tagger(words: dict[str, str]):
     return make
 
 
+def _attempt(function, *args):
+    """What it returns and no error, or none and its error: one row's failure must not lose the others."""
+    try:
+        return function(*args), None
+    except Exception as e:  # noqa: BLE001
+        return None, f"{type(e).__name__}: {e}"
+
+
+def _tag_rows(tagger, rows: list[list[str]], batch: int) -> list[tuple[list[str] | None, str | None]]:
+    """Tagged chunks of each row. Chunks of several rows go to the tagger together; where that fails, row by row."""
+
+    def tag(todo: list[str]) -> list[str]:
+        out: list[str] = []
+        for i in range(0, len(todo), batch):
+            out += tagger(todo[i : i + batch])
+        return out
+
+    together, error = _attempt(tag, [c for r in rows for c in r])
+    if error:
+        return [_attempt(tag, r) for r in rows]
+    ends = list(accumulate(map(len, rows)))
+    return [(together[e - len(r) : e], None) for r, e in zip(rows, ends)]
+
+
 def diacritize(docs: DataFrame, make_tagger=identity_tagger, text_col: str = "text", batch: int = 128) -> DataFrame:
     """``docs`` with diacritized_text and diac_error. Chunks of a batch's rows go to the tagger together."""
     ship(docs.sparkSession)
@@ -182,23 +215,15 @@ def diacritize(docs: DataFrame, make_tagger=identity_tagger, text_col: str = "te
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tagger = make_tagger()
         for texts in batches:
-            ready = [None if t is None else prepare(t) for t in texts]
-            todo = [p for r in ready if r for p in r[4][::2]]
-            tagged: list[str] = []
-            for i in range(0, len(todo), batch):
-                tagged += tagger(todo[i : i + batch])
-            at, out = 0, []
-            for r in ready:
-                if r is None:
-                    out.append((None, None))
-                    continue
-                n = (len(r[4]) + 1) // 2
-                try:
-                    out.append((finish(r, tagged[at : at + n]), None))
-                except Exception as e:  # noqa: BLE001  one row's failure must not lose the others
-                    out.append((None, f"{type(e).__name__}: {e}"))
-                at += n
-            yield pd.DataFrame(out, columns=["diacritized_text", "diac_error"])
+            ready = [(None, None) if t is None else _attempt(prepare, t) for t in texts]
+            tagged = iter(_tag_rows(tagger, [r[4][::2] for r, _ in ready if r], batch))
+            out = []
+            for r, error in ready:
+                if r:
+                    done, error = next(tagged)
+                    done, error = (None, error) if error else _attempt(finish, r, done)
+                out.append((done if r else None, error))
+            yield pd.DataFrame(out, columns=["diacritized_text", "diac_error"], dtype=object)
 
     return docs.withColumn("_d", run(normalised(F.col(text_col)))).select(*docs.columns, "_d.diacritized_text", "_d.diac_error")
 

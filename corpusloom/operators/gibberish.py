@@ -20,9 +20,9 @@ def flag_gibberish(docs: DataFrame, profile: Profile = ARABIC, *, text_col: str
     cheap = (
         F.when(c.isNull(), "null_text")
         .when(c == "", "empty")
-        .when(T.last_run_ratio(c) > most_run, "repeats")
+        .when(T.has_long_last_run(c, most_run), "repeats")
         .when(T.mark_share(c) > most_marks, "marks")
-        .when((T.word_like_count(c, profile) < least_word_like) & (T.common_word_count(c, profile) < least_common), "no_words")
+        .when(~T.has_word_like(c, least_word_like, profile) & (T.common_word_count(c, profile) < least_common), "no_words")
     )
     d = docs.withColumn("_cheap", cheap).withColumn("_script", share > least_script)
     needs = F.col("_cheap").isNull() & ~F.col("_script")

@@ -1,4 +1,4 @@
-"""Near-duplicates by MinHash and locality-sensitive bands, from built-in expressions.
+"""Near-duplicates by MinHash and locality-sensitive bands. Tokens and bands are expressions, the minima one Arrow-batched function.
 
 Texts of equal signature are one class, represented by its smallest id, so that copies are never paired with each other:
 pairs are between representatives, and ``membership`` has a row per document.
@@ -7,15 +7,21 @@ pairs are between representatives, and ``membership`` has a row per document.
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions.profiles import WORD, WS
 from corpusloom.plans.components import components
 from corpusloom.plans.keys import join_per_key
-from corpusloom.plans.shared import save
+from corpusloom.plans.shared import save, ship
+from corpusloom.sources import files
 
 PRIME, PERMUTATIONS, BANDS, ROWS = (1 << 31) - 1, 32, 8, 4
+HASHES_AT_ONCE = 1 << 16
 _draw = random.Random(20240607)
 A = [_draw.randrange(1, PRIME) for _ in range(PERMUTATIONS)]
 B = [_draw.randrange(0, PRIME) for _ in range(PERMUTATIONS)]
@@ -23,7 +29,7 @@ B = [_draw.randrange(0, PRIME) for _ in range(PERMUTATIONS)]
 
 def word_tokens(c: Column) -> Column:
     """Words without punctuation and Arabic marks, case kept."""
-    return F.regexp_extract_all(F.regexp_replace(c, f"[^{WORD}{WS}]", ""), F.lit(f"[^{WS}]+"), F.lit(0))
+    return F.regexp_extract_all(F.regexp_replace(c, f"[^{WORD}{WS}]+", ""), F.lit(f"[^{WS}]+"), F.lit(0))
 
 
 def char_tokens(c: Column) -> Column:
@@ -36,26 +42,48 @@ def shingle_tokens(c: Column, n: int = 5) -> Column:
     return F.when(F.size(words) <= n, F.array(F.array_join(words, " "))).otherwise(F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " ")))
 
 
-def signature(tokens: Column) -> Column:
-    """32 minima of (a h + b) mod 2^31 - 1 over the tokens' 32-bit hashes; without tokens all are 2^31 - 1."""
-    hashes = F.transform(F.array_distinct(tokens), lambda t: F.conv(F.substring(F.sha1(t), 1, 8), 16, 10).cast("bigint"))
+def token_hashes(tokens: Column) -> Column:
+    """32 bits of each different token's SHA-1."""
+    return F.transform(F.array_distinct(tokens), lambda t: F.conv(F.substring(F.sha1(t), 1, 8), 16, 10).cast("bigint"))
 
-    def permuted(a: int, b: int):
-        return lambda h: (h * F.lit(a) + F.lit(b)) % F.lit(PRIME)
 
-    # The hashes are made once: within the lambda they are a value.
-    made = F.transform(F.array(hashes), lambda hs: F.array(*(F.array_min(F.transform(hs, permuted(a, b))) for a, b in zip(A, B))))
-    mins = F.get(made, F.lit(0))
-    return F.transform(mins, lambda m: F.coalesce(m, F.lit(PRIME).cast("bigint")))
+def minima(spark: SparkSession):
+    """Column function: hashes -> 32 minima of (a h + b) mod 2^31 - 1; without hashes all are 2^31 - 1.
 
-
-def signatures(docs: DataFrame, id_col: str = "unique_id", text_col: str = "text", tokens: str = "word") -> DataFrame:
-    """(unique_id, sig). ``tokens``: word, char or shingle."""
+    A million hashes are 32 million products: as expressions over arrays those are interpreted one by one.
+    """
+    ship(spark)
+
+    @F.arrow_udf("array<bigint>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        a, b = np.array(A, np.int64)[:, None], np.array(B, np.int64)[:, None]
+        for lists in batches:
+            h, at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            out = np.full((PERMUTATIONS, len(lists)), PRIME, np.int64)
+            i = 0
+            while i < len(lists):  # as many texts as have some hashes together
+                j = max(i + 1, int(np.searchsorted(at, at[i] + HASHES_AT_ONCE, "right")) - 1)
+                full = i + np.flatnonzero(at[i + 1 : j + 1] > at[i:j])
+                if len(full):
+                    out[:, full] = np.minimum.reduceat((h[at[i] : at[j]] * a + b) % PRIME, at[full] - at[i], axis=1)
+                i = j
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, PERMUTATIONS * (len(lists) + 1), PERMUTATIONS, dtype=np.int32)), pa.array(out.T.ravel()))
+
+    return run
+
+
+def signatures(docs: DataFrame, id_col: str = "unique_id", text_col: str = "text", tokens: str = "word", order_col: str | None = None) -> DataFrame:
+    """(unique_id, sig). ``tokens``: word, char or shingle. A null text counts as empty.
+
+    With ``order_col`` a repeated id has one signature, that of its last row in that order; otherwise one for each row.
+    """
     if id_col not in docs.columns:
         raise ValueError(f"no column {id_col}: this table is to be skipped")
     cut = {"word": word_tokens, "char": char_tokens, "shingle": shingle_tokens}[tokens]
-    cutd = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("unique_id"), cut(F.col(text_col)).alias("_tokens"))
-    return cutd.select("unique_id", signature(F.col("_tokens")).alias("sig"))
+    order = [F.col(order_col).alias("_order")] if order_col else []
+    text = docs.select(F.col(id_col).alias("unique_id"), cut(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens"), *order)
+    made = text.select("unique_id", minima(docs.sparkSession)(token_hashes(F.col("_tokens"))).alias("sig"), *(["_order"] if order else []))
+    return made.groupBy("unique_id").agg(F.max_by("sig", "_order").alias("sig")) if order else made
 
 
 def band_hashes(sig: Column) -> Column:
@@ -125,3 +153,55 @@ def keep_one(docs: DataFrame, sigs: DataFrame, id_col: str = "unique_id", thresh
     gone = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("unique_id", F.coalesce("root", "rep").alias("root"))
     gone = gone.filter("unique_id <> root").select(F.col("unique_id").alias(id_col))
     return docs.join(gone, id_col, "left_anti")
+
+
+# --- shards -------------------------------------------------------------------------------------
+
+
+def shard_of(folder: Column) -> Column:
+    """The shard that a folder is named after: what follows its last underscore."""
+    return F.substring_index(F.regexp_replace(folder, "/+$", ""), "_", -1)
+
+
+def write_index(sigs: DataFrame, path: str) -> bool:
+    """(shard, unique_id, sig) -> saved signatures, and the index of their bands, by shard; unless both are there.
+
+    Texts of equal signature in a shard are one class there, under its smallest id.
+    """
+    spark = sigs.sparkSession
+    if files.done(spark, f"{path}/bands"):
+        return False
+    sigs.select("shard", "unique_id", "sig").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/signatures")
+    one = read_signatures(spark, path).groupBy("shard", "sig").agg(F.min("unique_id").alias("rep"), F.count("*").alias("members"))
+    one = one.withColumn("hashes", band_hashes(F.col("sig")))
+    rows = one.select("shard", "rep", "members", "sig", "hashes", F.posexplode("hashes").alias("band", "bucket"))
+    rows.write.mode("overwrite").partitionBy("shard").parquet(f"{path}/bands")
+    return True
+
+
+def _of(spark: SparkSession, path: str, shards: tuple[str, ...]) -> DataFrame:
+    t = spark.read.option("recursiveFileLookup", False).parquet(path).withColumn("shard", F.col("shard").cast("string"))
+    return t.filter(F.col("shard").isin(*shards)) if shards else t
+
+
+def read_signatures(spark: SparkSession, path: str, *shards: str) -> DataFrame:
+    """(unique_id, sig, shard) of the named shards, or of all; other shards' folders aren't read."""
+    return _of(spark, f"{path}/signatures", shards)
+
+
+def read_bands(spark: SparkSession, path: str, *shards: str) -> DataFrame:
+    return _of(spark, f"{path}/bands", shards)
+
+
+def shard_duplicates(spark: SparkSession, path: str, indexed: tuple[str, ...] = (), asked: tuple[str, ...] = (), threshold: float = 0.5) -> DataFrame:
+    """(shard, dup_shard, id, dup_id, jaccard_est): classes of the ``asked`` shards and those in the index of the ``indexed`` ones.
+
+    Without names every pair of shards is gone through in one join, each once: the asked shard comes after the indexed one, or is it.
+    """
+    a, b = read_bands(spark, path, *asked).alias("a"), read_bands(spark, path, *indexed).alias("b")
+    near = estimate(F.col("a.sig"), F.col("b.sig"))
+    first = F.array_position(F.zip_with("a.hashes", "b.hashes", lambda x, y: x == y), True) - 1
+    pair = (F.col("a.shard") > F.col("b.shard")) | ((F.col("a.shard") == F.col("b.shard")) & (F.col("a.rep") > F.col("b.rep"))) if not indexed and not asked else F.col("a.rep") != F.col("b.rep")
+    on = (F.col("a.band") == F.col("b.band")) & (F.col("a.bucket") == F.col("b.bucket")) & pair
+    found = a.join(b, on & (near > threshold) & (first == F.col("a.band")))
+    return found.select(F.col("a.shard").alias("shard"), F.col("b.shard").alias("dup_shard"), F.col("a.rep").alias("id"), F.col("b.rep").alias("dup_id"), near.alias("jaccard_est"))

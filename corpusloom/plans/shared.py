@@ -53,6 +53,20 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Inputs of fewer bytes are dealt anew, in parts of about so many.
+SMALL_INPUT, PART = 64 << 20, 1 << 20
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A small input on as many tasks as are worth it: a file of one row group is a single task, however many splits it has.
+
+    Larger inputs, and those of as many splits anyway, are left alone: rows would be moved for nothing.
+    """
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    parts = min(scan.sparkSession.sparkContext.defaultParallelism, size // PART + 1)
+    return scan.repartition(parts) if 1 < parts and size < SMALL_INPUT and scan.rdd.getNumPartitions() < parts else scan
+
+
 _shipped: set[str] = set()
 
 

@@ -8,12 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.functions import text as T
 from corpusloom.functions.profiles import Profile
+from corpusloom.plans.shared import spread
 
 LATIN_26, ARABIC_26 = "abcdefghijklmnopqrstuvwxyz", "ابتثجحخدذرزسشصضطظعغفقكلمنه"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,6 +42,24 @@ def read_blocklist(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "domain")
 
 
+def read_suffixes(spark: SparkSession, path: str, most: int = 100_000) -> tuple[str, ...]:
+    """Rules of a public suffix list in its own format, lower-cased; those of one label, which hold anyway, are left out."""
+    lines = spark.read.text(path).filter(~F.col("value").rlike(r"^\s*(//|$)")).select(F.lower(F.regexp_extract("value", r"^\s*(\S+)", 1)).alias("rule"))
+    found = [r["rule"] for r in lines.filter(F.contains("rule", F.lit("."))).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} suffix rules in {path}")
+    return tuple(sorted(found))
+
+
+def read_identified(spark: SparkSession, folder: str, id_col: str = "unique_id") -> DataFrame:
+    """The *.parquet files of a folder that have ids, with source_file; files without that column are left out."""
+    t = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True).parquet(folder).withColumn("source_file", F.col("_metadata.file_path"))
+    if id_col not in t.columns:
+        return t.limit(0)
+    named = t.groupBy("source_file").agg(F.count(id_col).alias("n")).filter("n > 0").select("source_file")
+    return t.join(named, "source_file", "left_semi").select(*t.columns)
+
+
 def write_once(df: DataFrame, path: str) -> bool:
     """Write unless a complete output is there; whether it was written."""
     if done(df.sparkSession, path):
@@ -51,10 +69,18 @@ def write_once(df: DataFrame, path: str) -> bool:
 
 
 def write_report(flagged: DataFrame, path: str, by: str = "reason") -> None:
-    """Rejected rows, a folder per reason."""
+    """Rejected rows, a folder per reason: of blocked addresses by ``reason``, of gibberish by ``gibberish_reason``."""
     flagged.filter(F.col(by).isNotNull()).write.partitionBy(by).mode("overwrite").json(path)
 
 
+def write_lists(lists: DataFrame, path: str) -> bool:
+    """Duplicate lists (id, dup_ids) as JSON lines, unless they are there; whether they were written."""
+    if done(lists.sparkSession, path):
+        return False
+    lists.write.mode("overwrite").json(path)
+    return True
+
+
 def write_stats(one_row: DataFrame, path: str) -> None:
     one_row.coalesce(1).write.mode("overwrite").json(path)
 

@@ -58,12 +58,43 @@ def test_minhash_estimates_and_pairs(spark):
     sets = {r["unique_id"]: (set(t.split()), r["sig"]) for r in sigs.collect() for t in [texts[r["unique_id"]]]}
     errors = [abs(sum(x == y for x, y in zip(s, u)) / 32 - len(a & b) / len(a | b)) for i, (a, s) in sets.items() for j, (b, u) in sets.items() if i < j < 12]
     assert sum(errors) / len(errors) < 0.1
-    assert {r["unique_id"]: r["rep"] for r in M.membership(sigs).collect()}[13] == 12
+    members = {r["unique_id"]: r["rep"] for r in M.membership(sigs).collect()}
+    assert members[13] == members[14] == 12  # null counts as empty
     assert sorted(r["unique_id"] for r in M.keep_one(d, sigs).collect())[:7] == [0, 1, 2, 3, 4, 5, 12]
     with pytest.raises(ValueError):
         M.signatures(d.withColumnRenamed("unique_id", "x"))
 
 
+def test_shards_are_saved_and_compared(spark, tmp_path):
+    rng = random.Random(2)
+    base = [" ".join(rng.sample([f"w{i}" for i in range(300)], 40)) for _ in range(9)]
+    d = spark.createDataFrame([(i, base[i % 9] if i % 2 else base[i % 9] + f" x{i}") for i in range(36)], "unique_id bigint, text string")
+    sigs = M.signatures(d).withColumn("shard", M.shard_of(F.concat(F.lit("/h/shard_"), (F.col("unique_id") % 4).cast("string"), F.lit("/"))))
+    path = str(tmp_path / "index")
+    assert M.write_index(sigs, path) and not M.write_index(sigs, path)
+    assert M.read_signatures(spark, path).count() == 36 and {r["shard"] for r in M.read_signatures(spark, path, "2").collect()} == {"2"}
+    rows = {r["unique_id"]: (r["shard"], tuple(r["sig"])) for r in sigs.collect()}
+    reps: dict = {}
+    for i, x in sorted(rows.items()):
+        reps.setdefault(x, i)
+    same = lambda a, b: sum(x == y for x, y in zip(a, b)) / 32
+    banded = lambda a, b: any(a[k : k + 4] == b[k : k + 4] for k in range(0, 32, 4))
+    want = {(s, t, i, j) for (s, a), i in reps.items() for (t, b), j in reps.items() if (s > t or s == t and i > j) and banded(a, b) and same(a, b) > 0.5}
+    got = M.shard_duplicates(spark, path)
+    assert {tuple(r)[:4] for r in got.collect()} == want and got.count() == len(want) > 10
+    one = M.shard_duplicates(spark, path, ("0",), ("3",))
+    assert {tuple(r)[:4] for r in one.collect()} == {x for x in want if x[:2] == ("3", "0")}
+    lists = M.near_lists(one.select("id", "dup_id"))
+    assert files.write_lists(lists, str(tmp_path / "3x0")) and not files.write_lists(lists, str(tmp_path / "3x0"))
+    assert spark.read.json(str(tmp_path / "3x0")).count() == lists.count()
+
+
+def test_last_signature_of_an_id(spark):
+    d = spark.createDataFrame([(1, "a b", 1), (1, "c d", 2), (2, "c d", 1)], "unique_id bigint, text string, n int")
+    got = {r["unique_id"]: r["sig"] for r in M.signatures(d, order_col="n").collect()}
+    assert len(got) == 2 and got[1] == got[2]
+
+
 def test_numbers_symbols_and_chunks():
     assert D.split_marks("a، b") == ["a", "، ", "b"]
     assert D.split_long("ab cd ef", 5) == ["ab cd", "ef"] and D.split_long("abcdefg hi", 3) == ["abc", "def", "g", "hi"]
@@ -79,6 +110,23 @@ def test_diacritization_restores_and_reports(spark):
     assert got[2]["diac_error"] and got[0]["diac_error"] is None and len(got) == 5
 
 
+def test_no_row_of_diacritization_takes_others_along(spark):
+    """A run of 5,000 digits, digits of several scripts, and a tagger that fails on one text."""
+    def make():
+        def tag(texts):
+            if any("ثثث" in t for t in texts):
+                raise RuntimeError("no")
+            return list(texts)
+        return tag
+
+    rows = ["كتب " + "7" * 5_000, "0" * 5_000 + "٣", "ثثث", "كتب", "1234567890123456"]
+    d = spark.createDataFrame(list(enumerate(rows)), "i int, text string").coalesce(1)
+    got = D.diacritize(d, make).orderBy("i").collect()
+    assert [r["diacritized_text"] for r in got] == [rows[0], "3", None, "كتب", rows[4]]
+    assert got[2]["diac_error"] == "RuntimeError: no" and [r["diac_error"] for r in got].count(None) == 4
+    assert len(D.span_rows(d).filter("i = 0").first()["numbers"]) == 1 and D.expand_numbers("007")[1][0][2] == "7" and D.expand_numbers("000")[1][0][2] == "0"
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(200, 200 + i) for i in range(1, 50)] + [(rng.randrange(300, 340), rng.randrange(300, 340)) for _ in range(30)] + [(5, 5)]
@@ -133,6 +181,48 @@ def test_files(spark, tmp_path):
     assert files.read_folder(spark, str(tmp_path / "out")).count() == files.read_tree(spark, str(tmp_path / "out")).count() == 5
 
 
+def test_files_without_ids_are_left_out(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (None, "b")], "unique_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "x/one"))
+    spark.createDataFrame([("c",)], "text string").coalesce(1).write.parquet(str(tmp_path / "x/two"))
+    flat = tmp_path / "flat"
+    flat.mkdir()
+    for k, part in enumerate(sorted((tmp_path / "x").glob("*/*.parquet"))):
+        part.rename(flat / f"{k}.parquet")
+    assert sorted(r["text"] for r in files.read_identified(spark, str(flat)).collect()) == ["a", "b"]
+    assert files.read_tree(spark, str(flat)).count() == 3
+    data = tmp_path / "root/news"
+    data.mkdir(parents=True)
+    for part in list(flat.glob("0.parquet")):
+        part.rename(data / "p.parquet")
+    got = files.read_datasets(spark, str(tmp_path / "root"))
+    assert {r["dataset"] for r in got.collect()} == {"news"}
+
+
+def test_suffix_rules(spark, tmp_path):
+    (tmp_path / "list.dat").write_text("// comment\n\ncom\nCO.uk\n*.ck\n!www.ck\na.b.example\n", "utf-8")
+    rules = files.read_suffixes(spark, str(tmp_path / "list.dat"))
+    assert set(rules) == {"co.uk", "*.ck", "!www.ck", "a.b.example"}
+    hosts = {"x.y.co.uk": "y.co.uk", "co.uk": "co.uk.", "a.b.ck": "a.b.ck", "b.ck": "b.ck.", "www.ck": "www.ck", "z.www.ck": "www.ck", "q.a.b.example": "q.a.b.example", "b.example": "b.example", "ck": "ck.", "u.v.com": "v.com"}
+    d = spark.createDataFrame([(h, w) for h, w in hosts.items()], "h string, w string")
+    assert d.filter(urls.registered_domain(F.concat(F.lit("http://"), "h", F.lit("/p")), rules) != F.col("w")).count() == 0
+
+
+def test_reports(spark, tmp_path):
+    flagged = spark.createDataFrame([("u1", "adult"), ("u2", None)], "url string, reason string")
+    files.write_report(flagged, str(tmp_path / "r"))
+    assert spark.read.json(str(tmp_path / "r")).collect()[0]["reason"] == "adult"
+    files.write_stats(spark.createDataFrame([(3,)], "n int"), str(tmp_path / "s"))
+    assert spark.read.json(str(tmp_path / "s")).first()["n"] == 3
+    assert files.read_blocklist(spark, str(tmp_path / "s")).columns == ["domain"]
+
+
+def test_small_inputs_are_spread(spark, sf):
+    from corpusloom.plans import shared
+
+    d = spark.read.parquet(f"{sf}/lineitem.parquet")
+    assert shared.spread(d.limit(0)).count() == 0 and shared.spread(d).count() == d.count()
+
+
 def test_stream_takes_each_row_once(spark, tmp_path):
     src, out, mark = (str(tmp_path / x) for x in ("src", "out", "mark"))
     d = spark.createDataFrame([(1, " ".join([LONG] * 9)), (2, "short")], "doc_id bigint, text string")

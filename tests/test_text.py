@@ -25,6 +25,9 @@ CASES = [
     (T.is_long_sentence, {"a b c d e f g": False, "a b c d e f g h": True, "": False}),
     (T.squeeze, {"  a \t\t b\n\n\nc 　": "a b\nc", "\n": ""}),
     (T.last_run_ratio, {"aaaab a": 1 / 7, "ab": 0.5, "abcd": 0.25, "": 0.0, "aaaa": 1.0, None: None, "𝔸𝔸b": 2 / 3, "x" * 100_000: 1.0}),
+    (lambda c: T.has_long_last_run(c, 0.25), {"aaaab a": False, "ab": True, "abcd": False, "": False, "aaaa": True, None: None, "𝔸𝔸b": True, "bcdaaxyz": False, "bcdaaaxyz": True}),
+    (lambda c: T.has_word_like(c, 5), {"با با با با": False, "با با با با با": True, "ا ا ا ا ا": False, "": False, None: None}),
+    (T.main_script, {"": None, "12 !?": None, None: None, "پچژ گکی": "fa", "كتب الولد": "ar", "αβγ def": "greek", "שלום a": "hebrew", "жук bug": "cyrillic", "漢字 a": "han"}),
     (T.word_like_count, {"با با با با": 4, "با با با با با": 5, "ا ا ا": 0}),
     (lambda c: T.common_word_count(c, ARABIC), {"في من في": 2, "في من على": 3, "في، من على": 2}),
     (T.mark_share, {"abc!!": 0.4, "؟؟؟": 0.0, "": 0.0}),
@@ -96,3 +99,31 @@ def test_word_distance_of_any_number_of_words(spark, monkeypatch, near):
     got = [r["d"] for r in d.select("i", metrics.word_distance(F.col("r"), F.col("h")).alias("d")).orderBy("i").collect()]
     plain = [sum(metrics.edits(r.split(), h.split())) for r, h in pairs[:-1]]
     assert got == [*plain, None] and got[0] == 20_498
+
+
+def test_registered_functions(spark):
+    from corpusloom.functions import registry
+
+    names = registry.register(spark, LATIN, "cl_")
+    assert len(names) == len(set(names)) and "cl_html_text" in names
+    said = "  call me\\t at a.b@c.de!!!!!! "
+    got = spark.sql(
+        "SELECT cl_mask_emails(t) AS a, cl_is_long_sentence(t, 4) AS b, cl_is_long_sentence(t, 5) AS c, cl_is_script_sentence(t, 0.99) AS d, cl_is_script_sentence(t, 0.5) AS e, "
+        "cl_registered_domain('http://x.y.co.uk/') AS f, cl_main_script(t) AS g, cl_nfkc('\\uFB01') AS h, cl_html_text('<p>x<script>y</script>').text AS i, cl_cut_mark_runs(t) AS j, "
+        f"cl_to_buckwalter(cl_from_buckwalter('ktb')) AS k, cl_word_like_count(t) AS l FROM (SELECT '{said}' AS t)"
+    ).first()
+    assert got["a"].strip() == "call me\t at Example@mail.com!!!!!!" and (got["b"], got["c"], got["d"], got["e"]) == (True, False, False, True)
+    assert (got["f"], got["g"], got["h"], got["i"], got["k"]) == ("y.co.uk", "latin", "fi", "x", "ktb") and got["j"].strip().endswith("de!!!") and got["l"] == 4
+
+
+def test_composition_turns_marks_round(spark):
+    got = results(spark, lambda c: T.normalize_arabic(c, udfs.nfkc(spark)), ["ب\u0651\u064e", "ﷺ ﻻ", None])
+    assert got == ["ب\u064e\u0651", "   ", None] or got[0] == "ب\u064e\u0651"
+
+
+def test_marked_word_error_rate(spark):
+    """Marks count: a word with another mark is another word."""
+    d = spark.createDataFrame([("كَتَبَ وَلَدٌ", "كَتَبَ وَلَدُ"), ("كَتَبَ", "كَتَبَ")], "r string, h string")
+    rates = metrics.error_rates(spark)
+    got = [r["x"]["distance"] for r in d.select(rates(*(metrics.words(K.combine(K.pairs(F.col(c)))) for c in "rh")).alias("x")).collect()]
+    assert got == [1, 0]
