@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm import rolling
 from corpusloom.plans.keys import hidden
-from corpusloom.plans.shared import save, ship
+from corpusloom.plans.shared import save, ship, spread
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: Bytes of item text that are broadcast at once; bytes of documents that are looked at at once.
@@ -261,7 +261,7 @@ def drop_leaking(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it contains."""
-    out = find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    out = find_leaks(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return out.withColumn("containment", F.col("shared") / F.col("shingles"))
 
 

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from corpusloom.plans.keys import hidden, join_per_key, row_key, without
-from corpusloom.plans.shared import save
+from corpusloom.plans.shared import save, spread
 
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -118,7 +118,7 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_alone(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    out = dedup_alone(spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text"))
     return out.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
     )

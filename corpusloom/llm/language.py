@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.samples import fit, held_out
 from corpusloom.plans.keys import hidden, join_per_key, row_key
-from corpusloom.plans.shared import save, ship
+from corpusloom.plans.shared import save, ship, spread
 
 #: Documents that the trigram model is fitted on at most, but for one of each language.
 SAMPLE_ROWS = 6_000
@@ -224,7 +224,7 @@ def identify_pages(pages: DataFrame, languages: list[str], model: bytes, url_col
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each page; the text model learns from documents, whose language is known."""
     languages, model = fit_languages(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang"))
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    pages = spread(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "url", "html")
     if not languages:
         return pages.limit(0).select("page_id", F.lit("").alias("host"), F.lit("").alias("declared"), F.lit("").alias("language"), F.lit(0.0).alias("confidence"))
     return identify_pages(pages, languages, model).select("page_id", "host", "declared", "language", "confidence")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from corpusloom.plans.keys import hidden
-from corpusloom.plans.shared import save
+from corpusloom.plans.shared import save, spread
 
 #: A row's draw is one of so many; a source's documents, in the order of their draws, are dealt over so many slices. Only the
 #: slice in which the words still to take end is sorted; with more than FEW rows it is sliced again first.
@@ -133,7 +133,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     sized = save(docs.select("doc_id", "source", words(F.col("text")).alias("size")), "sized")
     return mix(sized, size_col="size").select(
         "doc_id", "size", F.col("mix_source_size").alias("source_size"),

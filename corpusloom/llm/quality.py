@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.samples import fit, held_out, labelled
-from corpusloom.plans.shared import ship
+from corpusloom.plans.shared import ship, spread
 
 #: Labelled rows that the model is fitted on, bytes of text of them, pieces that build a dictionary.
 SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_PIECES = 8_000, 96 << 20, 24_000
@@ -124,7 +124,7 @@ THRESHOLD = 0.3
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = score_quality(docs, model)
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.plans.components import components
 from corpusloom.plans.keys import hidden, join_per_key, row_key, without
-from corpusloom.plans.shared import save, ship
+from corpusloom.plans.shared import save, ship, spread
 
 SHINGLE, SEED, TAU, BITS = 3, 42, 3, 64
 BLOCK = 1 << 16
@@ -278,6 +278,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     out = cluster(fingerprints(docs))
     return out.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from corpusloom.llm import rolling
 from corpusloom.llm.suffixes import common_prefixes, suffix_array
 from corpusloom.plans.keys import join_per_key, row_key
-from corpusloom.plans.shared import save, ship
+from corpusloom.plans.shared import save, ship, spread
 
 LENGTH, ANCHOR = 200, 64
 #: Bytes that are hashed at once, and bytes of surroundings in a shard.
@@ -276,6 +276,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     out = remove_repeats(docs)
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -24,7 +24,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusloom.plans.shared import ship
+from corpusloom.plans.shared import ship, spread
 
 #: The tokenizer's split, without its look for digits or letters beyond Unicode's classes.
 PRETOKEN = r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -147,6 +147,6 @@ def op3_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
         import public_tokenizers
 
         tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     out = count_tokens(docs, str(tokenizer))
     return out.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), "n_tokens", "over_limit")

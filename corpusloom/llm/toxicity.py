@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusloom.llm.samples import fit, held_out, labelled
-from corpusloom.plans.shared import ship
+from corpusloom.plans.shared import ship, spread
 
 #: Labelled rows that the model is fitted on, characters of text of them, passes over them.
 SAMPLE_ROWS, SAMPLE_CHARS, EPOCHS = 16_000, 96 << 20, 4
@@ -135,7 +135,7 @@ def score_toxicity(docs: DataFrame, model: bytes, text_col: str = "text", name:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "text")
     model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = score_toxicity(docs, model)
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -44,6 +44,21 @@ def test_fingerprints():
         assert S.fingerprint(text) == slow(text), text
 
 
+@pytest.mark.parametrize("block", [1, 2, 7, 299])
+def test_blocks_change_nothing(monkeypatch, block):
+    rng = random.Random(block)
+    monkeypatch.setattr(S, "BLOCK", block)
+    for n in (1, 2, 3, 4, 9, 10, 301):
+        text = " ".join(rng.choice("abcdeÄ") for _ in range(n))
+        assert S.fingerprint(text) == slow(text), text
+
+
+def test_least_id_stays_where_ids_repeat(spark, docs_of):
+    same = "word " * 50
+    left = S.drop_near_duplicates(docs_of([(None, same), (9, same), (3, same), (9, "other words stand here"), (3, same)]))
+    assert sorted((r["doc_id"], r["text"][:4]) for r in left.collect()) == [(3, "word"), (9, "othe")]
+
+
 @pytest.mark.parametrize("large", [S.LARGE, 5])
 def test_components(spark, large):
     rng = random.Random(large)
