@@ -25,7 +25,6 @@ def expressions(profile: Profile = ARABIC) -> dict[str, tuple[str, str, Callable
         "common_word_count": ("text STRING", "INT", lambda c: T.common_word_count(c, profile)),
         "script_share": ("text STRING", "DOUBLE", lambda c: T.script_share(c, profile)),
         "mark_share": ("text STRING", "DOUBLE", T.mark_share),
-        "main_script": ("text STRING", "STRING", T.main_script),
         "normalize_arabic": ("text STRING", "STRING", T.normalize_arabic),
         "core_letters": ("text STRING", "STRING", T.core_letters),
         "strip_marks": ("text STRING", "STRING", T.strip_marks),

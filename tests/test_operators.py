@@ -55,12 +55,12 @@ def test_minhash_estimates_and_pairs(spark):
     sigs = M.signatures(d)
     found = {(r["id"], r["dup_id"]) for r in M.near_pairs(sigs).collect()}
     assert {(i, i + 6) for i in range(6)} <= found and all(a < b for a, b in found)
-    sets = {r["unique_id"]: (set(t.split()), r["sig"]) for r in sigs.collect() for t in [texts[r["unique_id"]]]}
+    sets = {r["unique_id"]: (set((t or "").split()), r["sig"]) for r in sigs.collect() for t in [texts[r["unique_id"]]]}
     errors = [abs(sum(x == y for x, y in zip(s, u)) / 32 - len(a & b) / len(a | b)) for i, (a, s) in sets.items() for j, (b, u) in sets.items() if i < j < 12]
     assert sum(errors) / len(errors) < 0.1
     members = {r["unique_id"]: r["rep"] for r in M.membership(sigs).collect()}
     assert members[13] == members[14] == 12  # null counts as empty
-    assert sorted(r["unique_id"] for r in M.keep_one(d, sigs).collect())[:7] == [0, 1, 2, 3, 4, 5, 12]
+    assert sorted(r["unique_id"] for r in M.keep_one(d, sigs).collect()) == [0, 1, 2, 3, 4, 5, 12]
     with pytest.raises(ValueError):
         M.signatures(d.withColumnRenamed("unique_id", "x"))
 
