@@ -14,6 +14,7 @@ import pickle
 import re
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -73,21 +74,22 @@ def _calibrated(s: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[float,
     return float(w[0]), float(w[1])
 
 
-def train(rows: Iterator[tuple[str, int]]) -> bytes:
+def train(rows: Iterator[tuple[str, int]], max_chars: int = SAMPLE_CHARS, epochs: int = EPOCHS) -> bytes:
+    """Weights after ``epochs`` passes over the rows, but for those beyond ``max_chars`` characters of text."""
     data, taken, labels = [], 0, [0, 0]
     for text, label in rows:
         parts = list(features(text))
         data.append((np.unique(np.concatenate(parts)).astype(np.int32) if parts else np.empty(0, np.int32), label))
         labels[label] += 1
         taken += len(text)
-        if taken > SAMPLE_CHARS:
+        if taken > max_chars:
             break
     prior = (labels[1] + 1) / (sum(labels) + 2)
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias = base = float(np.log(prior / (1 - prior)))
     if not all(labels):
         return pickle.dumps((np.empty(0, np.int32), np.empty(0, np.float32), base, 0.0, 1.0))
-    for epoch in range(EPOCHS):
+    for _ in range(epochs):
         for i, y in data:
             zi, root = z[i], np.sqrt(n[i])
             w = np.where(np.abs(zi) > L1, -(zi - np.sign(zi) * L1) / ((BETA + root) / ALPHA + L2), 0.0)
@@ -116,8 +118,9 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(self.at + self.slope * np.clip(total, -CLIP, CLIP), -30, 30))))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> bytes:
-    return fit(labelled(docs, labels, "toxic", max_rows), train)
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS, max_chars: int = SAMPLE_CHARS, epochs: int = EPOCHS) -> bytes:
+    """The model, fitted on at most so many labelled rows and characters of their text."""
+    return fit(labelled(docs, labels, "toxic", max_rows), partial(train, max_chars=max_chars, epochs=epochs))
 
 
 def score_toxicity(docs: DataFrame, model: bytes, text_col: str = "text", name: str = "score") -> DataFrame:
