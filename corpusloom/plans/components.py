@@ -1,6 +1,6 @@
 """Connected components by alternating large-star and small-star rounds.
 
-Each round is two aggregations and joins; its edges are written to the shared folder. A node with very
+Each round is two aggregations and joins, after each of which the edges are written to the shared folder. A node with very
 many neighbours (a component's root) goes by a broadcast join of at most a thousand such nodes.
 """
 
@@ -9,18 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from corpusloom.plans.keys import join_per_key
-from corpusloom.plans.shared import save
+from corpusloom.plans.shared import save, unsave
 
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
 
-def _stars(pairs: DataFrame) -> DataFrame:
-    """(u, v) -> (u, v, m), m the least of u and its v."""
-    pairs = save(pairs, "star")
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
-    return join_per_key(pairs, save(least, "least"), "u", "n", pairs.count())
+def _least(pairs: DataFrame) -> DataFrame:
+    """(u, v) -> (u, m, n): the least of u and its v, and how many there are."""
+    return pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -30,10 +28,13 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     state = _state(e)
     for _ in range(rounds if state[0] else 0):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _stars(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        s = _stars(large)
-        small = s.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(s.select("u", F.col("m").alias("v")))
-        e = save(small.filter("u <> v").distinct(), "edges")
+        large = join_per_key(both, _least(both), "u", "n", 2 * state[0]).filter("v > u")
+        large = save(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "star")
+        least = _least(large)
+        small = join_per_key(large, least, "u", "n", large.count()).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, e = e, save(small.unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "edges")
+        unsave(before)
+        unsave(large)
         now = _state(e)
         if now == state:
             break

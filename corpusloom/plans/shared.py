@@ -11,10 +11,11 @@ import os
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
-_made: dict[str, SparkSession] = {}
+_saved: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     made = "file://" + tempfile.mkdtemp(prefix="corpusloom-")
     spark.conf.set("spark.checkpoint.dir", made)
-    _made[made] = spark
+    atexit.register(shutil.rmtree, made.removeprefix("file://"), True)
     return made
 
 
@@ -50,7 +51,14 @@ def save(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    saved = spark.read.schema(df.schema).parquet(path)
+    _saved[saved] = path
+    return saved
+
+
+def unsave(saved: DataFrame) -> None:
+    """Remove a table that ``save`` made and nothing will read again."""
+    _remove(saved.sparkSession, _saved.pop(saved))
 
 
 #: Inputs of fewer bytes are dealt anew, in parts of about so many.
