@@ -12,10 +12,12 @@ def _pages(spark, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", "url")
 
 
+BLOCKED = {"adult": ["example.org", "blocked.example"], "agressif": ["example.net", "example.org"]}
+
+
 def _blocked(spark) -> DataFrame:
-    lists = {"adult": ["example.org", "blocked.example"], "agressif": ["example.net", "example.org"]}
     one = lambda ds: spark.sql("SELECT * FROM VALUES " + ", ".join(f"('{d}')" for d in ds) + " AS t(domain)")
-    return urls.blocklist({k: one(v) for k, v in lists.items()})
+    return urls.blocklist({k: one(v) for k, v in BLOCKED.items()})
 
 
 def _flagged(spark, sf_dir: str) -> DataFrame:
