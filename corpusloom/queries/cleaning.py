@@ -54,8 +54,8 @@ def _cleaned(profile: Profile):
     return run
 
 
-def cleaned_sql(p: Profile) -> str:
-    source = AR if p is ARABIC else "text"
+def cleaned_sql(p: Profile, table_sql: str | None = None) -> str:
+    source = table_sql or f"SELECT doc_id, {AR if p is ARABIC else 'text'} AS text FROM documents"
 
     def each(e: str, f) -> str:
         return f"list_transform({e}, lambda a: list_transform(a, lambda x: {f('x')}))"
@@ -80,7 +80,7 @@ def cleaned_sql(p: Profile) -> str:
     FROM (SELECT *, {each('s1', lambda x: sql_marks(x, p))} AS s2
     FROM (SELECT *, {each('s0', lambda x: sql_phones(sql_emails(x)))} AS s1
     FROM (SELECT doc_id, list_transform(list_filter(string_split(text, chr(10)), lambda x: x <> ''), lambda x: {sql_sentences(sql_squeeze('x'))}) AS s0
-    FROM (SELECT doc_id, {source} AS text FROM documents))))))))"""
+    FROM ({source}))))))))"""
 
 
 def counters(spark, sf_dir: str) -> DataFrame:
@@ -108,7 +108,9 @@ def clean_pages(spark, sf_dir: str) -> DataFrame:
 
 
 def nfkc(spark, sf_dir: str) -> DataFrame:
-    return docs(spark, sf_dir).select("doc_id", udfs.nfkc(spark)(F.col("text")).alias("text"))
+    """Texts in which a letter and its accent are two characters, so that there is something to compose."""
+    apart = F.replace("text", F.lit("a"), F.lit("a\u0301"))
+    return docs(spark, sf_dir).select("doc_id", udfs.nfkc(spark)(apart).alias("text"))
 
 
 QUERIES = {
@@ -132,6 +134,11 @@ QUERIES = {
 }
 
 _LATIN_SQL = cleaned_sql(LATIN)
+#: Text nodes between what is cut out at a mark of its own; the entities that the pages have.
+_CUT = r"regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b[^>]*>.*?</script\s*>', chr(1), 'g'), '(?is)<style\b[^>]*>.*?</style\s*>', chr(1), 'g'), '(?s)<!--.*?-->|<[^>]*>', chr(1), 'g')"
+_NODES = f"array_to_string(list_filter(string_split({_CUT}, chr(1)), lambda x: x <> ''), ' ')"
+_PAGE = f"regexp_replace(replace(replace(replace({_NODES}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
+_SCRIPTS = r"CAST(len(regexp_extract_all(html, '(?i)<(?:script|style)\b')) AS INTEGER)"
 ORACLE_SQL = {
     "clean_sentence_split": f"SELECT doc_id, len(s) AS n_sentences, array_to_string(s, '|') AS sentences FROM (SELECT doc_id, {sql_sentences(sql_squeeze(sub('text', chr(92) + 'n+', chr(10))))} AS s FROM documents)",
     "clean_whitespace": _text_sql(sql_squeeze(sub("text", r"\n+", "\n"))),
@@ -142,6 +149,10 @@ ORACLE_SQL = {
     "keep_script_sentences": _kept_sql(sql_is_script("s", LATIN)),
     "keep_script_sentences_arabic": _kept_sql(sql_is_script("s", ARABIC), arabic=True),
     "keep_long_sentences": _kept_sql(sql_is_long("s")),
+    "html_text": f"SELECT page_id, {_PAGE} AS text, {_SCRIPTS} AS scripts FROM pages",
+    # The pages have no compatibility characters, so the canonical form serves.
+    "clean_pages": f"SELECT c.* EXCLUDE (doc_id), p.* FROM ({cleaned_sql(LATIN, f'SELECT page_id AS doc_id, nfc_normalize({_PAGE}) AS text FROM pages')}) c JOIN (SELECT page_id, {_SCRIPTS} AS n_scripts, {_PAGE} <> html AS html_changed FROM pages) p ON p.page_id = c.doc_id",
+    "nfkc": "SELECT doc_id, nfc_normalize(replace(text, 'a', 'a' || chr(769))) AS text FROM documents",
     "clean_documents": _LATIN_SQL,
     "clean_documents_arabic": cleaned_sql(ARABIC),
     "clean_counters": f"""
