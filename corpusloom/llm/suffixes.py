@@ -1,9 +1,10 @@
 """Suffix arrays by induced sorting, and permuted common prefixes, in numpy.
 
 Leftmost-smaller substrings are sorted by a first induction and named by rank; where names repeat, the string of names is sorted
-the same way, and so on. Both scans of an induction take as many buckets at once as put nothing into each other; a bucket whose
-suffixes induce others in it goes wave by wave. A string of names of which few repeat has about as many buckets as letters, so
-most of the time would go into its many small steps: those few are told apart by doubling instead.
+the same way, and so on, as long as its names are under a share of ``few_repeat`` of its letters; beyond that, repeats are told
+apart by doubling. Both scans of an induction over many letters take as many buckets at once as put nothing into each other; a bucket whose
+suffixes induce others in it goes wave by wave. A string of names has about as many buckets as letters, so nearly all of the
+time goes into many small steps: levels make a shard take three times as long (README), so there are none by default.
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ import numpy as np
 
 from corpusloom.llm import rolling
 
-#: Names over so large a share of leftmost-smaller substrings repeat too rarely for another level.
-FEW_REPEAT = 0.75
+#: Names over so large a share of leftmost-smaller substrings are told apart by doubling; 0: always.
+FEW_REPEAT = 0.0
+#: So few buckets are gone through one by one.
+FEW_LETTERS = 256
 
 
 def suffix_types(t: np.ndarray) -> np.ndarray:
@@ -82,21 +85,22 @@ def induce(t: np.ndarray, less: np.ndarray, seeds: np.ndarray, letters: int) ->
         _place(sa, t, ptr, np.array([n - 1]), 1)
     c, width = 0, 1
     while c < letters:
-        e = min(c + width, letters)
-        filled = ptr[c:e] - heads[c:e]
-        at = _two(sa[_ranges(heads[c:e], filled)], filled, seeds[seeds_of[c] : seeds_of[e]], n_seeds[c:e])
-        before = at[at > 0] - 1
-        before = before[larger[before]]
-        least = int(t[before].min()) if len(before) else e
-        if c < least < e:  # buckets from there on wait for what these put into them
-            at = at[: np.searchsorted(t[at], least)]
+        if letters > FEW_LETTERS:
+            e = min(c + width, letters)
+            filled = ptr[c:e] - heads[c:e]
+            at = _two(sa[_ranges(heads[c:e], filled)], filled, seeds[seeds_of[c] : seeds_of[e]], n_seeds[c:e])
             before = at[at > 0] - 1
             before = before[larger[before]]
-        if least > c:
-            if len(before):
-                _place(sa, t, ptr, before, 1)
-            c, width = min(e, least), 2 * (min(e, least) - c)
-            continue
+            least = int(t[before].min()) if len(before) else e
+            if c < least < e:  # buckets from there on wait for what these put into them
+                at = at[: np.searchsorted(t[at], least)]
+                before = at[at > 0] - 1
+                before = before[larger[before]]
+            if least > c:
+                if len(before):
+                    _place(sa, t, ptr, before, 1)
+                c, width = min(e, least), 2 * (min(e, least) - c)
+                continue
         _waves(sa, t, ptr, c, heads[c], 1, larger)
         before = seeds[seeds_of[c] : seeds_of[c + 1]]
         before = before[before > 0] - 1
@@ -107,21 +111,22 @@ def induce(t: np.ndarray, less: np.ndarray, seeds: np.ndarray, letters: int) ->
     n_larger, ptr = ptr - heads, ends - 1
     c, width = letters, 1  # buckets below c are still to do
     while c > 0:
-        e = max(c - width, 0)
-        filled, rest = (ends[e:c] - 1 - ptr[e:c])[::-1], n_larger[e:c][::-1]
-        at = _two(sa[_ranges(ptr[e:c] + 1, filled[::-1])][::-1], filled, sa[_ranges(heads[e:c], rest[::-1])][::-1], rest)
-        before = at[at > 0] - 1
-        before = before[less[before]]
-        most = int(t[before].max()) if len(before) else e - 1
-        if e <= most < c - 1:
-            at = at[: np.searchsorted(-t[at], -most)]
+        if letters > FEW_LETTERS:
+            e = max(c - width, 0)
+            filled, rest = (ends[e:c] - 1 - ptr[e:c])[::-1], n_larger[e:c][::-1]
+            at = _two(sa[_ranges(ptr[e:c] + 1, filled[::-1])][::-1], filled, sa[_ranges(heads[e:c], rest[::-1])][::-1], rest)
             before = at[at > 0] - 1
             before = before[less[before]]
-        if most < c - 1:
-            if len(before):
-                _place(sa, t, ptr, before, -1)
-            c, width = max(e, most + 1), 2 * (c - max(e, most + 1))
-            continue
+            most = int(t[before].max()) if len(before) else e - 1
+            if e <= most < c - 1:
+                at = at[: np.searchsorted(-t[at], -most)]
+                before = at[at > 0] - 1
+                before = before[less[before]]
+            if most < c - 1:
+                if len(before):
+                    _place(sa, t, ptr, before, -1)
+                c, width = max(e, most + 1), 2 * (c - max(e, most + 1))
+                continue
         c, width = c - 1, 1
         _waves(sa, t, ptr, c, ends[c] - 1, -1, less)
         before = sa[heads[c] : heads[c] + n_larger[c]][::-1]
@@ -132,10 +137,10 @@ def induce(t: np.ndarray, less: np.ndarray, seeds: np.ndarray, letters: int) ->
     return sa
 
 
-def _doubled(rank: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names by repeated doubling."""
+def _doubled(rank: np.ndarray, depth: int | None) -> np.ndarray:
+    """Order of the suffixes of a string of names by repeated doubling, as far as ``depth`` bytes tell: a name stands for two at least."""
     reach, names = 1, int(rank.max()) + 1
-    while names < len(rank):
+    while names < len(rank) and (depth is None or 2 * reach < depth + 2):
         ahead = np.zeros(len(rank), np.int64)
         ahead[:-reach] = rank[reach:] + 1
         _, rank = np.unique(rank * (names + 1) + ahead, return_inverse=True)
@@ -143,8 +148,12 @@ def _doubled(rank: np.ndarray) -> np.ndarray:
     return np.argsort(rank, kind="stable")
 
 
-def suffix_array(t: np.ndarray) -> np.ndarray:
-    """Starts of the suffixes of an array of bytes, or of other letters from 0 on, in their order."""
+def suffix_array(t: np.ndarray, depth: int | None = None, few_repeat: float | None = None) -> np.ndarray:
+    """Starts of the suffixes of an array of bytes, or of other letters from 0 on, in their order.
+
+    With ``depth`` those that agree over so many letters may stand in any order.
+    """
+    few_repeat = FEW_REPEAT if few_repeat is None else few_repeat
     n = len(t)
     if n < 2:
         return np.arange(n)
@@ -170,7 +179,7 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     if names < len(lms):
         rank = np.zeros(n, np.int64)
         rank[order] = np.cumsum(new) - 1
-        order = lms[suffix_array(rank[lms]) if names < FEW_REPEAT * len(lms) else _doubled(rank[lms])]
+        order = lms[suffix_array(rank[lms], None, few_repeat) if names < few_repeat * len(lms) else _doubled(rank[lms], depth)]
     return induce(t, less, order, letters)
 
 

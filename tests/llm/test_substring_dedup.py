@@ -66,30 +66,32 @@ def test_odd_tables(odd):
     assert S.remove_repeats(odd.limit(0)).count() == 0 and S.remove_repeats(odd).count() == odd.count()
 
 
-@pytest.mark.parametrize("few", [suffixes.FEW_REPEAT, 2.0, 0.0])
+@pytest.mark.parametrize("few", [0.0, 0.75, 2.0])
 @pytest.mark.parametrize("seed", range(20))
-def test_suffix_arrays(monkeypatch, seed, few):
-    """With levels as long as some names repeat, with levels only, and with doubling only."""
-    monkeypatch.setattr(suffixes, "FEW_REPEAT", few)
+def test_suffix_arrays(seed, few):
+    """With doubling only, with levels as long as some names repeat, and with levels only."""
     rng = random.Random(seed)
     t = np.array([rng.randrange(1 + seed % 4 + 1) for _ in range(rng.randrange(1, 300))], np.uint8)
     if seed % 5 == 0:
         t = np.concatenate([t, t, t])
     b = t.tobytes()
-    sa = suffixes.suffix_array(t)
+    sa = suffixes.suffix_array(t, None, few)
     assert sa.tolist() == sorted(range(len(b)), key=lambda i: b[i:])
     plcp, before = suffixes.common_prefixes(t, sa, 30, len(t) - np.arange(len(t)))
     for x, y in zip(sa[:-1], sa[1:]):
         n = next((i for i in range(30) if b[x + i : x + i + 1] != b[y + i : y + i + 1] or x + i >= len(b) or y + i >= len(b)), 30)
         assert before[y] == x and plcp[y] == n
+    deep = suffixes.suffix_array(t, 10, few)
+    assert [b[i : i + 10] for i in deep] == sorted(b[i : i + 10] for i in range(len(b)))
 
 
+@pytest.mark.parametrize("few", [0.0, 2.0])
 @pytest.mark.parametrize("letters", [1, 2, 30, 4_000])
-def test_suffix_arrays_of_many_letters(letters):
+def test_suffix_arrays_of_many_letters(letters, few):
     rng = random.Random(letters)
     part = [rng.randrange(letters) for _ in range(300)]
     t = np.array(part + [rng.randrange(letters) for _ in range(600)] + part)
-    assert suffixes.suffix_array(t).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    assert suffixes.suffix_array(t, None, few).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
 
 
 def test_query(spark, sf):
