@@ -8,7 +8,6 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from corpusloom.llm import simhash as S
 
