@@ -1,10 +1,15 @@
-"""Diacritized text as (letter, tag) pairs in Buckwalter notation, ids, and back; Column expressions."""
+"""Diacritized text as (letter, tag) pairs in Buckwalter notation, ids, and back; Column expressions, and one Arrow-batched function."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, SparkSession, functions as F
 
 from corpusloom.functions import text as T
+from corpusloom.plans.shared import ship
 
 _SPECIAL = ["<PAD>", "<BOS>", "<EOS>"]
 # Letters and tags by their ids; the marks of a tag that stands for a shadda and a vowel.
@@ -17,7 +22,9 @@ LETTERS = [
 TAGS = ["<PAD>", "<BOS>", "<EOS>", "<NT>", "<SD>", "<SDD>", "<SF>", "<SFF>", "<SK>", "<SKK>", "F", "K", "N", "a", "i", "o", "u", "~"]
 DOUBLE = {"<SD>": "~u", "<SDD>": "~N", "<SF>": "~a", "<SFF>": "~F", "<SK>": "~i", "<SKK>": "~K"}
 NONE = "<NT>"
-_VOWELS = "auiFNK"
+_VOWELS, _MARKS = "auiFNK", "FNKaiuo~"
+#: Ids that are sent on together.
+IDS_AT_ONCE = 1 << 20
 
 
 def clean(c: Column) -> Column:
@@ -33,11 +40,76 @@ def shadda_first(bw: Column) -> Column:
     return bw
 
 
-def pairs(c: Column) -> Column:
-    """array<struct<letter, tag>> from <BOS> to <EOS>. A mark without a letter before it is dropped."""
+def _plain(c: Column) -> Column:
     bw = shadda_first(F.replace(T.to_buckwalter(clean(c)), F.lit("`"), F.lit("")))
     for m in "FNKaui~o":
         bw = F.replace(bw, F.lit(m * 2), F.lit(m))
+    return bw
+
+
+def buckwalter(c: Column) -> Column:
+    """``combine`` of ``pairs`` as one string, without an array: letters in Buckwalter, each with its mark or shadda and vowel."""
+    return F.regexp_replace(_plain(c), rf"\A[{_MARKS}]+|([^{_MARKS}](?:~[{_VOWELS}]|[{_MARKS}])?+)[{_MARKS}]+", "$1")
+
+
+def without_case_endings_text(bw: Column) -> Column:
+    """``without_case_endings`` of such a string: the mark before each unmarked blank goes."""
+    return F.regexp_replace(bw, rf"(?<=[^{_MARKS}])(?:~[{_VOWELS}]|[{_MARKS}])(?= (?![{_MARKS}]))", "")
+
+
+def encode_text(spark: SparkSession):
+    """Column function: such a string -> struct<input_ids, target_ids>, as ``encode`` of its pairs; a text at a time, as arrays of numbers.
+
+    The ids leave in batches of about a million, so memory doesn't depend on how many texts come at once.
+    """
+    ship(spark)
+    @F.arrow_udf("struct<input_ids: array<int>, target_ids: array<int>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        letters, single, double = (np.full(129, n, np.int32) for n in (-1, -1, -1))
+        for i, x in enumerate(LETTERS):
+            if len(x) == 1:
+                letters[ord(x)] = i
+        for i, x in enumerate(TAGS):
+            if len(x) == 1:
+                single[ord(x)] = i
+        for tag, marks in DOUBLE.items():
+            double[ord(marks[1])] = TAGS.index(tag)
+        bos, eos, none = LETTERS.index("<BOS>"), LETTERS.index("<EOS>"), TAGS.index(NONE)
+
+        def ids(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+            if text is None:
+                return letters[:0], letters[:0]
+            codes = np.minimum(np.frombuffer(f"{text}\uffff\uffff".encode("utf-32-le"), np.uint32), 128)
+            at = np.flatnonzero(single[codes[:-2]] < 0)
+            first, second = codes[at + 1], codes[at + 2]
+            tag = np.where((first == ord("~")) & (double[second] >= 0), double[second], np.where(single[first] < 0, none, single[first]))
+            return np.concatenate([[bos], letters[codes[at]], [eos]]), np.concatenate([[bos], tag, [eos]])
+
+        def lists(of: list[np.ndarray]) -> pa.Array:
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in of])]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(of).astype(np.int32)))
+
+        def rows(made: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+            null = pa.array([not len(x) for x, _ in made])
+            return pa.StructArray.from_arrays([lists([x for x, _ in made]), lists([y for _, y in made])], ["input_ids", "target_ids"], mask=null)
+
+        for texts in batches:
+            made, size = [], 0
+            for text in texts:
+                made.append(ids(text.as_py()))
+                size += len(made[-1][0])
+                if size >= IDS_AT_ONCE:
+                    yield rows(made)
+                    made, size = [], 0
+            if made:
+                yield rows(made)
+
+    return run
+
+
+def pairs(c: Column) -> Column:
+    """array<struct<letter, tag>> from <BOS> to <EOS>. A mark without a letter before it is dropped."""
+    bw = _plain(c)
     tags = F.create_map(*(F.lit(x) for tag, marks in DOUBLE.items() for x in (marks, tag)))
     units = F.regexp_extract_all(bw, F.lit(r"([^FNKaiuo~])(~[aiuFNK]|[FNKaiuo~])?"), F.lit(0))
 

@@ -78,17 +78,21 @@ _PAIRS_SQL = f"""SELECT doc_id, len(u) + 2 AS n_pairs, array_to_string(list_conc
 
 
 def _joined(ids) -> Column:
-    return F.array_join(F.transform(ids, lambda i: i.cast("string")), ",")
+    return F.array_join(ids.cast("array<string>"), ",")
+
+
+def _encoded(spark, sf_dir: str) -> DataFrame:
+    return _marked(spark, sf_dir).select("doc_id", K.encode_text(spark)(K.buckwalter(F.col("text"))).alias("e"))
 
 
 def encode_ids(spark, sf_dir: str) -> DataFrame:
-    e = _pairs(spark, sf_dir).select("doc_id", K.encode(F.col("p")).alias("e"))
+    e = _encoded(spark, sf_dir)
     return e.select("doc_id", _joined(F.col("e.input_ids")).alias("input_ids"), _joined(F.col("e.target_ids")).alias("target_ids"))
 
 
 def decode_ids(spark, sf_dir: str) -> DataFrame:
     """Encoded and decoded again."""
-    d = _pairs(spark, sf_dir).withColumn("e", K.encode(F.col("p")))
+    d = _encoded(spark, sf_dir)
     return d.select("doc_id", K.decode(F.col("e.input_ids"), F.col("e.target_ids")).alias("text"))
 
 
@@ -235,7 +239,7 @@ QUERIES = {
     "letter_tag_pairs": letter_tag_pairs,
     "encode_ids": encode_ids,
     "decode_ids": decode_ids,
-    "case_endings": lambda s, d: _pairs(s, d).select("doc_id", K.combine(K.without_case_endings(F.col("p"))).alias("text")),
+    "case_endings": lambda s, d: _marked(s, d).select("doc_id", K.without_case_endings_text(K.buckwalter(F.col("text"))).alias("text")),
     "der": der,
     "der_no_case_endings": der_no_case_endings,
     "wer_marked": wer_marked,
