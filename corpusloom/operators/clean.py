@@ -2,26 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from corpusloom.functions import text as T
-from corpusloom.functions.profiles import ARABIC, WS, Profile
-
-
-#: White space but the line break; and all of it.
-_INLINE = WS.replace(r"\t-\r", r"\t\x0B-\r")
-_ALL_WS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
-
-
-def _if_any(c: Column, marks: tuple[str, ...], function) -> Column:
-    """``function`` of texts that hold one of ``marks``; others are as they were, which is told without a pattern."""
-    return F.when(reduce(lambda a, b: a | b, [F.contains(c, F.lit(m)) for m in marks]), function(c)).otherwise(c)
-
-
-def _parts(c: str | Column) -> Column:
-    return F.split(c, T.PART, -1)
+from corpusloom.functions.documents import COUNTS, clean_udf, tidy_udf
+from corpusloom.functions.profiles import ARABIC, Profile
 
 
 def clean_documents(docs: DataFrame, profile: Profile = ARABIC, *, text_col: str = "text", html=None, nfkc=None,
@@ -38,43 +22,21 @@ def clean_documents(docs: DataFrame, profile: Profile = ARABIC, *, text_col: str
         d = d.withColumn("html_changed", F.col("_raw") != F.col(text_col)).drop("_page")
     else:
         d = d.withColumn("n_scripts", F.lit(0)).withColumn("_raw", F.col(text_col)).withColumn("html_changed", F.lit(False))
-    bare = F.replace(F.replace("_raw", F.lit(T.PART), F.lit("")), F.lit(T.ELLIPSIS), F.lit(""))
-    d = d.withColumn("_t", F.trim(_if_any(bare, ("\n\n",), lambda c: F.regexp_replace(c, r"\n{2,}", "\n")), F.lit("\n")))
-    bare = F.array_join(F.transform(F.split("_t", "\n", -1), lambda line: F.trim(line, F.lit(_ALL_WS))), "\n")
-    lines = _if_any(bare, ("  ", "\t"), lambda c: F.regexp_replace(c, T.BLANKS, " "))
-    d = d.withColumn("_lines", nfkc(lines) if nfkc is not None else lines)
-    d = d.withColumn("_s0", F.replace(F.regexp_replace("_lines", T.SENTENCE_END.replace(WS, _INLINE), T.PART), F.lit("\n"), F.lit(f"{T.PART}\n{T.PART}")))
-    d = d.withColumn("_s1", _if_any(F.col("_s0"), ("@",), T.mask_emails))
-    d = d.withColumn("_s1", _if_any(F.col("_s1"), ("+",), T.mask_phones))
-    d = d.withColumn("_s2", T.cut_mark_runs(F.col("_s1"), profile))
-    d = d.withColumn("_s3", T.blank_foreign_spans(F.col("_s2"), profile, ends=T.PART + r"\n"))
-    # What counts as the script's is what is neither white space nor this, which is little.
-    other = F.regexp_replace("_s3", f"[{profile.inner}{profile.neutral}{WS}]+", "")
-    solid = F.regexp_replace(F.replace("_s3", F.lit(" "), F.lit("")), f"[{WS}]+", "")
-    z = F.arrays_zip(_parts("_s3").alias("s"), F.transform(_parts(other), F.length).alias("other"), F.transform(_parts(solid), F.length).alias("solid"))
-    script = lambda x: (x["s"] == "\n") | ((x["s"] != "") & ((x["solid"] - x["other"]) / F.greatest(x["solid"], F.lit(1)) >= script_share))
-    d = d.withColumn("_k1", F.transform(F.filter(z, script), lambda x: x["s"]))
-    d = d.withColumn("_k2", F.filter("_k1", lambda s: (s == "\n") | T.is_long_sentence(s, least_words)))
-    d = d.withColumn("_breaks", F.length("_lines") - F.length(F.replace("_lines", F.lit("\n"), F.lit(""))))
-
-    def changed(a: str, b: str) -> Column:
-        return F.when(F.col(a) == F.col(b), F.lit(0)).otherwise(F.size(F.filter(F.zip_with(_parts(a), _parts(b), lambda x, y: x != y), lambda x: x)))
-
-    text = F.replace(F.replace(F.array_join("_k2", T.PART), F.lit(f"{T.PART}\n"), F.lit("\n")), F.lit(f"\n{T.PART}"), F.lit("\n"))
-    text = F.replace(F.trim(F.regexp_replace(text, r"\n{2,}", "\n"), F.lit("\n")), F.lit(T.PART), F.lit(" "))
-    d = d.withColumns({
-        "n_sentences": F.when(F.col("_t") == "", F.lit(0)).otherwise(F.size(_parts("_s0")) - F.col("_breaks")),
-        "n_script": F.size("_k1") - F.col("_breaks"), "n_kept": F.size("_k2") - F.col("_breaks"),
-        "n_masked": changed("_s0", "_s1"), "n_marks_cut": changed("_s1", "_s2"),
-        "n_spans": F.when(F.col("_s2") == F.col("_s3"), F.lit(0)).otherwise(F.regexp_count("_s2", F.lit(T.foreign_span(profile, ends=T.PART + r"\n")))), "_text": text,
-    })
+    # Bytes that are no UTF-8 are replaced, as Python can't take them.
+    raw = F.make_valid_utf8("_raw")
+    if nfkc is None:
+        d = d.withColumn("_c", clean_udf(docs.sparkSession, profile, script_share, least_words)(raw))
+    else:
+        d = d.withColumn("_tidy", tidy_udf(docs.sparkSession)(raw)).withColumn("_lines", nfkc(F.col("_tidy.lines")))
+        d = d.withColumn("_c", clean_udf(docs.sparkSession, profile, script_share, least_words, tidied=True)(F.col("_tidy.empty"), F.col("_lines"))).drop("_tidy", "_lines")
+    d = d.withColumns({n: F.col(f"_c.{n}") for n in COUNTS[:-1]}).withColumn("_text", F.col("_c.text"))
     d = d.withColumn("n_removed", F.col("n_sentences") - F.col("n_kept"))
     reason = (
         F.when(F.col("_raw").isNull(), "null_text")
         .when(F.coalesce(F.try_divide("n_removed", "n_sentences"), F.lit(0.0)) > most_removed, "sentences_removed")
-        .when(~F.col("_text").rlike(rf"\A(?:[^ \n]*+[ \n]){{{max(0, least_doc_words - 1)}}}"), "too_short")
+        .when(F.col("_c.n_gaps") < least_doc_words - 1, "too_short")
     )
-    return d.withColumn("drop_reason", reason).withColumnRenamed("_text", "clean_text").drop("_raw", "_t", "_lines", "_s0", "_s1", "_s2", "_s3", "_k1", "_k2", "_breaks")
+    return d.withColumn("drop_reason", reason).withColumnRenamed("_text", "clean_text").drop("_raw", "_c")
 
 
 def kept(cleaned: DataFrame) -> DataFrame:

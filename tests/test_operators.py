@@ -28,6 +28,21 @@ def test_cleaning_keeps_drops_and_counts(spark):
     assert clean.kept(clean.clean_documents(d.limit(0), LATIN)).count() == 0
 
 
+def test_documents_are_cleaned_once_without_java_patterns(spark):
+    rows = [(1, "\U0001d51fa@b.co"), (2, "a@b.co, a. b... c"), (3, None), (4, "\n\n"), (5, " ")]
+    got = clean.clean_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), LATIN)
+    by = {r["doc_id"]: r for r in got.collect()}
+    assert [by[i]["n_masked"] for i in range(1, 6)] == [0, 1, None, 0, 0]  # a letter beyond the basic plane is a letter
+    assert [by[i]["n_sentences"] for i in range(1, 6)] == [1, 4, None, 0, 1] and by[3]["drop_reason"] == "null_text"
+    plan = clean.rejects(got)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan and "RLIKE" not in plan
+
+
+def test_bytes_that_are_no_text_are_cleaned(spark):
+    d = spark.range(1).select("id", F.expr("cast(X'61FF62' as string)").alias("text"))
+    assert clean.clean_documents(d, LATIN).first()["n_sentences"] == 1
+
+
 def test_addresses(spark):
     d = spark.createDataFrame([("http://blog.example.com/a",), ("HTTPS://u@x.Example.co.uk:8080?q",), ("http://1.2.3.4/x",), ("localhost",), (None,)], "url string")
     assert [r[0] for r in d.select(urls.registered_domain(F.col("url"))).collect()][:2] == ["example.com", "example.co.uk"]
