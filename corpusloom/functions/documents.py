@@ -57,13 +57,21 @@ def cleaner(profile: Profile, script_share: float, least_words: int) -> Callable
         s2 = marks.sub(r"\1", s1.replace("...", T.ELLIPSIS)).replace(T.ELLIPSIS, "...")
         s3, n_spans = spans.subn(" ", s2)
         # What counts as the script's is what is neither white space nor this, which is little.
-        other, solid = usual.sub("", s3).split(T.PART), "".join(s3.split()).split(T.PART)
-        k1 = [s for s, o, n in zip(s3.split(T.PART), map(len, other), map(len, solid), strict=True) if s == "\n" or s and (n - o) / max(n, 1) >= script_share]
-        k2 = [s for s in k1 if s == "\n" or len(s.split(None, max(0, least_words))) >= least_words]
-        text = T.PART.join(k2).replace(f"{T.PART}\n", "\n").replace(f"\n{T.PART}", "\n")
+        n_script, kept = 0, []
+        for s, other in zip(s3.split(T.PART), usual.sub("", s3).split(T.PART), strict=True):
+            if s == "\n":
+                kept.append(s)
+            elif s:
+                words = s.split()
+                n = len("".join(words))
+                if (n - len(other)) / max(n, 1) >= script_share:
+                    n_script += 1
+                    if len(words) >= least_words:
+                        kept.append(s)
+        text = T.PART.join(kept).replace(f"{T.PART}\n", "\n").replace(f"\n{T.PART}", "\n")
         text = _LINES.sub("\n", text).strip("\n").replace(T.PART, " ")
         n = 0 if empty else s0.count(T.PART) + 1 - breaks
-        return n, len(k1) - breaks, len(k2) - breaks, changed(s0, s1), changed(s1, s2), n_spans, text.count(" ") + text.count("\n"), text
+        return n, n_script, len(kept) - breaks, changed(s0, s1), changed(s1, s2), n_spans, text.count(" ") + text.count("\n"), text
 
     return clean
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -80,6 +81,38 @@ def test_minhash_estimates_and_pairs(spark):
         M.signatures(d.withColumnRenamed("unique_id", "x"))
 
 
+def test_signatures_are_made_from_texts_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(t):
+        seen.add(1)
+        return t
+
+    d = spark.createDataFrame([(i, LONG + f" {i // 2} end") for i in range(20)] + [(20, None)], "unique_id bigint, text string").repartition(2)
+    sigs = M.signatures(d.withColumn("text", told.asNondeterministic()("text")))
+    plan = sigs._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan and "sha1" not in plan
+    assert {r["unique_id"] for r in M.keep_one(d, sigs).collect()} <= {*range(0, 20, 2), 20} and seen.value == 21
+
+
+def test_tokens_are_hashed_as_said(spark, monkeypatch):
+    monkeypatch.setattr(M, "HASHES_AT_ONCE", 3)
+    texts = ["b-a b, a' _ ²x \u064b \U0001d51f c\u2028d", "", "?! ...", None, "one two three four five six one"]
+    d = spark.createDataFrame(list(enumerate(texts)), "unique_id bigint, text string").coalesce(1)
+
+    def least(tokens):
+        h = [int(hashlib.sha1(t.encode()).hexdigest()[:8], 16) for t in tokens]
+        return [min([(x * a + b) % M.PRIME for x in h], default=M.PRIME) for a, b in zip(M.A, M.B)]
+
+    columns = {"word": M.word_tokens, "char": M.char_tokens}
+    for kind, cut in columns.items():
+        want = {r[0]: least(r[1]) for r in d.select("unique_id", cut(F.coalesce("text", F.lit("")))).collect()}
+        assert {r[0]: r[1] for r in M.signatures(d, tokens=kind).collect()} == want
+    got = {r[0]: r[1] for r in M.signatures(d, tokens="shingle").collect()}
+    assert got[4] == least(["one two three four five", "two three four five six", "three four five six one"]) and got[1] == got[3] == least([""])
+
+
 def test_shards_are_saved_and_compared(spark, tmp_path):
     rng = random.Random(2)
     base = [" ".join(rng.sample([f"w{i}" for i in range(300)], 40)) for _ in range(9)]
