@@ -1,4 +1,4 @@
-"""Whole documents cleaned in Arrow-batched Python: Java's patterns ask a class of characters range by range, Python's look a character up.
+"""Whole documents cleaned, sifted and told apart in Arrow-batched Python: Java's patterns ask a class of characters range by range, Python's look a character up.
 
 A document is one string in which U+FDD0 stands between sentences, and before and after each line break.
 """
@@ -6,8 +6,10 @@ A document is one string in which U+FDD0 stands between sentences, and before an
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession, functions as F
 
@@ -91,7 +93,7 @@ def _batches(kind: pa.StructType, of: Callable[..., tuple | None]):
         for i in range(len(columns[0])):
             row = of(*(c[i].as_py() for c in columns))
             rows.append(row)
-            size += len(row[-1]) if row is not None else 0
+            size += len(row[-1]) if row is not None and row[-1] is not None else 0
             if size >= TEXT_AT_ONCE:
                 flush()
                 size = 0
@@ -142,3 +144,104 @@ def clean_udf(spark: SparkSession, profile: Profile, script_share: float, least_
 
     # A filter on what it gives would otherwise be pushed below it, with a call of its own.
     return cleaned.asNondeterministic()
+
+
+# --- functions of a text, each as the Column function in functions.text that it is named after --------------------------------
+
+
+def squeeze(text: str) -> str:
+    text = (_LINES.sub("\n", text) if "\n\n" in text else text).strip()
+    return (_BLANKS.sub(" ", text) if "  " in text or "\t" in text else text).strip()
+
+
+_SPLIT, _MARK_END = re.compile(T.SENTENCE_END), re.compile(f"([.?!;؟؛])[{WS}]+")
+
+
+def sentences(text: str) -> list[str]:
+    if "..." in text or T.PART in text:
+        return _SPLIT.split(text)
+    return _MARK_END.sub(rf"\1{T.PART}", text).split(T.PART)
+
+
+def is_script_sentence(profile: Profile, threshold: float = 0.7) -> Callable[[str], bool]:
+    other = re.compile(f"[^{profile.inner}{profile.neutral}]+")
+    return lambda s: s != "" and len(other.sub("", s)) / max(len("".join(s.split())), 1) >= threshold
+
+
+def is_long_sentence(least: int = 8) -> Callable[[str], bool]:
+    return lambda s: len(s.split(None, least)) >= least
+
+
+def _script_table() -> np.ndarray:
+    """By code unit: 0 for no letter, 1 for a letter of no named script, or 2 more than the script's place by name; 128 more for a Persian letter."""
+    blocks = [re.compile(f"[{T._SCRIPTS[n]}]") for n in sorted(T._SCRIPTS)]
+    table = np.zeros(1 << 16, np.uint8)
+    for i in range(1 << 16):
+        c = chr(i)
+        if unicodedata.category(c)[0] == "L":
+            table[i] = next((k for k, b in enumerate(blocks, 2) if b.match(c)), 1)
+        if c in T.PERSIAN:
+            table[i] |= 128
+    return table
+
+
+def main_script(persian: float = 0.08) -> Callable[[str], str | None]:
+    table, names = _script_table(), sorted(T._SCRIPTS)
+
+    def of(text: str) -> str | None:
+        # Halves of characters beyond the basic plane are no letters; no script that is told apart has any there.
+        n = np.bincount(table[np.frombuffer(text.encode("utf-16-le"), np.uint16)], minlength=256)
+        counts = (n[:128] + n[128:])[2 : 2 + len(names)]
+        top = int(counts.argmax())
+        if not counts[top]:
+            return None
+        return "fa" if names[top] == "ar" and n[128:].sum() > counts[top] * persian else names[top]
+
+    return of
+
+
+_OTHER, _LONG = re.compile(rf"[^{T.CHARSET}٠-٩0-9؟؛،.!?,;$% \n]"), re.compile(rf"([{T.LETTERS}ٱ])\1\1+")
+
+
+def normalize_arabic(text: str) -> str:
+    """With the compatibility form."""
+    text = _LONG.sub(r"\1\1", unicodedata.normalize("NFKC", _OTHER.sub(" ", text)))
+    return text.replace(T.TATWEEL, "").replace("?", "؟").replace(";", "؛").replace(",", "،")
+
+
+def text_udf(spark: SparkSession, make: Callable[[], Callable[[str], str | None]]):
+    """Column function text -> string by the Python function that ``make`` gives, made once per worker; null stays null."""
+    ship(spark)
+
+    @F.arrow_udf("string")
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of = make()
+        run = _batches(pa.struct([("text", pa.string())]), lambda t: (None if t is None or (got := of(t)) is None else got,))
+        for texts in batches:
+            yield run(texts).field("text")
+
+    inner = each.asNondeterministic()
+    return lambda c: inner(F.make_valid_utf8(c))
+
+
+def kept_udf(spark: SparkSession, make: Callable[[], Callable[[str], bool]]):
+    """Column function text -> struct(kept, text): how many of its sentences ``make``'s function keeps, and those."""
+    ship(spark)
+    kind = pa.struct([("kept", pa.int64()), ("text", pa.string())])
+
+    @F.arrow_udf("kept bigint, text string")
+    def each(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        keep = make()
+
+        def of(text: str | None) -> tuple | None:
+            if text is None:
+                return None
+            own = [s for s in sentences(squeeze(text)) if keep(s)]
+            return len(own), " ".join(own)
+
+        run = _batches(kind, of)
+        for texts in batches:
+            yield run(texts)
+
+    inner = each.asNondeterministic()
+    return lambda c: inner(F.make_valid_utf8(c))
