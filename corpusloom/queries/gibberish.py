@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from corpusloom.functions import text as T
+from corpusloom.functions import documents, text as T
 from corpusloom.functions.profiles import ARABIC, LATIN, Profile
 from corpusloom.operators import gibberish
 from corpusloom.queries.common import AR, arabic_docs, docs, in_arabic, q, re2, sub
@@ -68,7 +68,7 @@ SELECT doc_id, reason IS NOT NULL AS is_gibberish, reason AS gibberish_reason FR
 
 def flags_detected(spark, sf_dir: str) -> DataFrame:
     """As the source has it: the script's share after shaping, so that the detector decides for ordinary text."""
-    d = gibberish.flag_gibberish(arabic_docs(spark, sf_dir), shaped=True, detector=T.main_script)
+    d = gibberish.flag_gibberish(arabic_docs(spark, sf_dir), shaped=True, detector=documents.text_udf(spark, documents.main_script))
     return d.select("doc_id", "is_gibberish", "gibberish_reason")
 
 
@@ -134,7 +134,7 @@ QUERIES = {
     "gibberish_filter": lambda s, d: gibberish.drop_gibberish(gibberish.flag_gibberish(docs(s, d), LATIN)),
     "gibberish_counts": lambda s, d: gibberish.gibberish_counts(gibberish.flag_gibberish(docs(s, d), LATIN)),
     "common_words_arabic": lambda s, d: docs(s, d).select("doc_id", T.common_word_count(_with_common_arabic(F.col("text"))).alias("common")),
-    "lang_detect": lambda s, d: mixed_script(s, d).select("doc_id", T.main_script(F.col("text")).alias("language")),
+    "lang_detect": lambda s, d: mixed_script(s, d).select("doc_id", documents.text_udf(s, documents.main_script)(F.col("text")).alias("language")),
     "gibberish_flags_detected": flags_detected,
 }
 
