@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from corpusloom.functions import metrics, tashkeel as K, text as T, udfs
+from corpusloom.functions import documents, metrics, tashkeel as K, text as T
 from corpusloom.operators import diacritize as D
 from corpusloom.plans.shared import ship
 from corpusloom.queries.common import AR, ARABIC_26, LATIN_26, arabic_docs, docs, q, re2, sub, table
@@ -229,7 +229,7 @@ QUERIES = {
     "kashida": _arabic(T.drop_tatweel, lambda c: F.replace(c, F.lit(" "), F.lit(T.TATWEEL + " "))),
     "punct_map": _arabic(T.arabic_marks),
     "normalize_chain": _arabic(T.normalize_arabic),
-    "normalize_chain_nfkc": lambda s, d: _marked_twice(s, d).select("doc_id", T.normalize_arabic(F.col("text"), udfs.nfkc(s)).alias("text")),
+    "normalize_chain_nfkc": lambda s, d: _marked_twice(s, d).select("doc_id", documents.text_udf(s, lambda: documents.normalize_arabic)(F.col("text")).alias("text")),
     "persian_map": _arabic(T.core_letters, lambda c: F.translate(c, "كبج", "گپچ")),
     "keep_core": lambda s, d: _marked(s, d).select("doc_id", T.keep_core(F.col("text")).alias("text")),
     "removal_counts": removal_counts,

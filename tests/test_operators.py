@@ -8,7 +8,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.functions.profiles import LATIN
+from corpusloom import catalog
+from corpusloom.functions import documents, text as T, udfs
+from corpusloom.functions.profiles import ARABIC, LATIN
 from corpusloom.operators import clean, diacritize as D, minhash as M, urls
 from corpusloom.plans import keys
 from corpusloom.plans.components import components
@@ -44,6 +46,29 @@ def test_bytes_that_are_no_text_are_cleaned(spark):
     assert clean.clean_documents(d, LATIN).first()["n_sentences"] == 1
 
 
+def test_functions_of_texts_agree_with_columns(spark):
+    texts = ["", " ", "\n\n a.  b\t? c", "a... b.... c", "\ufdd0 a. b", "one two three four five six seven eight", " one two three four five six seven\u2003", "السلام عليكم",
+             "پچژ گکی abc", "αβγ де", "\U0001d51f 漢字", "ب\u064e\u0651 ـــ بببب ، ؟ x;?,", "12 !?", None, "!! ??  ab. cd"]
+    d, c = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1), F.col("t")
+    for make, column in ((lambda: documents.is_script_sentence(ARABIC), T.is_script_sentence), (documents.is_long_sentence, T.is_long_sentence)):
+        k = F.filter(T.sentences(T.squeeze(c)), lambda s: column(s))  # noqa: B023
+        want = d.select("i", F.size(k).cast("bigint").alias("kept"), F.array_join(k, " ").alias("text")).collect()
+        assert d.select("i", documents.kept_udf(spark, make)(c).alias("k")).select("i", "k.kept", "k.text").collect() == want
+    for make, column in ((documents.main_script, T.main_script(c)), (lambda: documents.normalize_arabic, T.normalize_arabic(c, udfs.nfkc(spark)))):
+        assert d.select("i", documents.text_udf(spark, make)(c).alias("x")).collect() == d.select("i", column.alias("x")).collect()
+
+
+@pytest.mark.parametrize("name", ["keep_script_sentences", "keep_script_sentences_arabic", "keep_long_sentences", "lang_detect", "normalize_chain_nfkc"])
+def test_texts_go_through_no_java_patterns(spark, sf, name):
+    plan = catalog.QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "regexp" not in plan and "RLIKE" not in plan
+
+
+def test_letters_are_counted_in_one_pass(spark, sf):
+    plan = catalog.QUERIES["gibberish_flags_detected"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "\\P{L}" not in plan
+
+
 def test_addresses(spark):
     d = spark.createDataFrame([("http://blog.example.com/a",), ("HTTPS://u@x.Example.co.uk:8080?q",), ("http://1.2.3.4/x",), ("localhost",), (None,)], "url string")
     assert [r[0] for r in d.select(urls.registered_domain(F.col("url"))).collect()][:2] == ["example.com", "example.co.uk"]
